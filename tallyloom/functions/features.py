@@ -32,7 +32,10 @@ def service_count(spec: TabularSpec) -> Column:
 
 
 def avg_monthly_charges(spec: TabularSpec) -> Column:
-    return to_number(F.col(spec.total)) / (F.col(spec.tenure).cast("double") + F.lit(1.0))
+    """Missing stays missing; a tenure of -1 (a rejected row) gives NULL instead of failing."""
+    return F.try_divide(
+        to_number(F.col(spec.total)), F.col(spec.tenure).cast("double") + F.lit(1.0)
+    )
 
 
 def no_security_support(spec: TabularSpec) -> Column:

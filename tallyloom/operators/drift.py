@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import closed_last_bin, floor_at, present
-from tallyloom.operators.ordering import exact_quantiles
+from tallyloom.operators.ordering import fitted_quantiles
+from tallyloom.session import small_table
 
 # Floor of a share, number of bins, status bounds, window and minimum size.
 EPSILON = 1e-6
@@ -34,19 +35,22 @@ def decile_edges(
     if not features:
         return {}
     probs = [i / bins for i in range(bins + 1)]
-    rows = exact_quantiles(df, features, probs).select("column", "value").collect()
-    edges: dict[str, set] = {f: set() for f in features}
-    for r in rows:
-        edges[r["column"]].add(r["value"])
-    return {f: sorted(values) for f, values in edges.items()}
+    return {f: sorted(set(v)) for f, v in fitted_quantiles(df, features, probs).items()}
 
 
 def few_valued(df: DataFrame, features: Sequence[str], limit: int = FEW_VALUES) -> list[str]:
-    """Numeric features with at most ``limit`` distinct values (found by a sketch first)."""
+    """Numeric features with at most ``limit`` distinct values.
+
+    A sketch rules out the others, so exact distinct sets stay small.
+    """
     if not features:
         return []
-    row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in features]).first()
-    return [c for c in features if row[c] <= limit]
+    rough = df.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    close = [c for c in features if rough[c] <= 2 * limit]
+    if not close:
+        return []
+    exact = df.agg(*[F.size(F.collect_set(F.col(c))).alias(c) for c in close]).first()
+    return [c for c in close if exact[c] <= limit]
 
 
 def _binned(edges: dict[str, list[float]], keep: Sequence[str]) -> list[Column]:
@@ -134,7 +138,8 @@ def _share(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _numeric_reference(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
     shares = _share(numeric_counts(df, edges).filter("bin is not null"), ["feature", "bin"])
-    grid = df.sparkSession.createDataFrame(
+    grid = small_table(
+        df.sparkSession,
         [
             (f, i, float(e[i]), float(e[i + 1]))
             for f, e in edges.items()

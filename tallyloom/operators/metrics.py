@@ -19,9 +19,8 @@ from tallyloom.functions.numeric import (
     safe_ratio,
 )
 from tallyloom.operators.ordering import (
-    DEFAULT_BUCKETS,
     add_buckets,
-    exact_quantiles,
+    fitted_quantiles,
     melt_buckets,
     quantile_edges,
     running_totals,
@@ -91,7 +90,7 @@ def brier(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def ranked_counts(
-    df: DataFrame, y: str, p: str, n_buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, y: str, p: str, n_buckets: int | None = None
 ) -> DataFrame:
     """One row per distinct score: pos, neg and tp, fp of the rule ``score >= this one``."""
     edges = quantile_edges(df, [p], n_buckets)
@@ -222,7 +221,7 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 
 
 def metric_record(
-    df: DataFrame, y: str, p: str, threshold: float, n_buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, y: str, p: str, threshold: float, n_buckets: int | None = None
 ) -> DataFrame:
     """The whole metric suite as one row, confusion counts as a struct."""
     ranked = ranked_counts(df, y, p, n_buckets)
@@ -255,9 +254,7 @@ def calibration(df: DataFrame, y: str, p: str, bins: int = 10) -> DataFrame:
     """Quantile-bin reliability table; a score equal to an inner edge goes to the lower bin."""
     probs = [i / bins for i in range(bins + 1)]
     # bins + 1 numbers reach the driver.
-    edges = [
-        r["value"] for r in exact_quantiles(df, [p], probs).orderBy("prob").collect()
-    ]
+    edges = fitted_quantiles(df, [p], probs)[p]
     return (
         df.filter(present(F.col(p)))
         .groupBy(edges_below(F.col(p), edges[1:-1]).alias("bin"))
@@ -331,7 +328,7 @@ def single_feature_auc(
     y: str,
     numeric: Sequence[str],
     text: Sequence[str],
-    n_buckets: int = DEFAULT_BUCKETS,
+    n_buckets: int | None = None,
 ) -> DataFrame:
     """Leakage screen: AUC of every single column, folded to >= 0.5, with its flag.
 

@@ -8,6 +8,7 @@ windowing by the bucket need the same hash partitioning, so the join adds no shu
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -15,12 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import present
-
-DEFAULT_BUCKETS = 256
+from tallyloom.session import ordering_buckets, small_table
 
 
 def quantile_edges(
-    df: DataFrame, cols: Sequence[str], n_buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, cols: Sequence[str], n_buckets: int | None = None
 ) -> dict[str, list[float]]:
     """Approximate equal-weight cut points per column, from one aggregate pass.
 
@@ -28,12 +28,17 @@ def quantile_edges(
     buckets: results built on them are exact whatever the cut points are, so they are put
     into the plan as literals and every branch of the plan sees the same buckets.
     """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    values = {c: F.col(c).cast("double") for c in cols}
-    row = df.agg(
+    n_buckets = n_buckets or ordering_buckets(df.sparkSession)
+    probs = ",".join(f"{i / n_buckets!r}D" for i in range(1, n_buckets))
+    accuracy = max(10_000, 10 * n_buckets)
+    numbers = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    row = numbers.agg(
         *[
-            F.percentile_approx(F.when(present(v), v), probs, 10_000).alias(f"e{i}")
-            for i, v in enumerate(values.values())
+            F.expr(
+                f"percentile_approx(CASE WHEN NOT isnan(v{i}) THEN v{i} END, "
+                f"array({probs}), {accuracy}) AS e{i}"
+            )
+            for i in range(len(cols))
         ]
     ).first()
     return {c: sorted({v + 0.0 for v in (row[i] or [])}) for i, c in enumerate(cols)}
@@ -65,7 +70,7 @@ def add_buckets(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
 def bucket_offsets(
     cells: DataFrame, group_cols: Sequence[str], bucket: str, values: Sequence[str]
 ) -> DataFrame:
-    """Per (group, bucket): totals of all earlier buckets and of the whole group.
+    """Per (group, bucket): its totals, those of all earlier buckets and of the whole group.
 
     ``cells`` has one row per (group, bucket), so a window partition holds at most as many
     rows as there are buckets.
@@ -78,6 +83,7 @@ def bucket_offsets(
     return cells.select(
         *group_cols,
         bucket,
+        *values,
         *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"{v}__before") for v in values],
         *[F.sum(v).over(whole).alias(f"{v}_all") for v in values],
     )
@@ -93,7 +99,7 @@ def running_totals(
     """Adds ``<v>_cum`` (inclusive, ascending) and ``<v>_all`` to one-row-per-value counts."""
     keys = [*group_cols, bucket]
     cells = counts.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values])
-    offsets = bucket_offsets(cells, group_cols, bucket, values)
+    offsets = bucket_offsets(cells, group_cols, bucket, values).drop(*values)
     inside = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -119,7 +125,7 @@ def bucketed_row_number(
     """
     keys = [*partition_cols, bucket]
     cells = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    offsets = bucket_offsets(cells, partition_cols, bucket, ["n"])
+    offsets = bucket_offsets(cells, partition_cols, bucket, ["n"]).drop("n")
     inside = Window.partitionBy(*keys).orderBy(*order_cols)
     ranked = df.join(offsets, keys).withColumn(
         out, (F.row_number().over(inside) + F.col("n__before")).cast("bigint")
@@ -162,7 +168,7 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     group_cols: Sequence[str] = (),
-    n_buckets: int = DEFAULT_BUCKETS,
+    n_buckets: int | None = None,
     edges: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles, exact, as rows (group..., column, prob, value, n).
@@ -181,7 +187,7 @@ def exact_quantiles(
     cell = [*series, "bucket"]
 
     cells = long.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
-    located = bucket_offsets(cells, series, "bucket", ["n"]).join(cells, cell)
+    located = bucket_offsets(cells, series, "bucket", ["n"])
     rank = F.col("prob") * (F.col("n_all") - 1).cast("double")
     wanted = (
         located.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
@@ -225,3 +231,59 @@ def exact_quantiles(
     return picked.groupBy(*series, "prob").agg(
         (low + (high - low) * F.max("frac")).alias("value"), F.max("n_all").alias("n")
     ).select(*[F.col(k).alias(g) for g, k in zip(group_cols, keys)], "column", "prob", "value", "n")
+
+
+def fitted_quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    n_buckets: int | None = None,
+) -> dict[str, list[float]]:
+    """Exact interpolated quantiles of whole columns, brought to the driver for a fit.
+
+    Three passes: balancing cut points, counts per bucket (at most ``n_buckets`` per column),
+    and the ordered values of only those buckets that hold a wanted rank. A column without
+    values gives an empty list.
+    """
+    edges = quantile_edges(df, cols, n_buckets)
+    long = melt_buckets(df, cols, [], edges)
+    counts: dict[str, list[tuple[int, int]]] = {c: [] for c in cols}
+    for r in long.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["column"]].append((r["bucket"], r["n"]))
+
+    wanted, ranks = [], {}
+    for c, cells in counts.items():
+        total = sum(n for _, n in cells)
+        ranks[c] = [p * (total - 1) for p in probs] if total else []
+        targets = {k for r in ranks[c] for k in (math.floor(r), math.ceil(r))}
+        before = 0
+        for bucket, n in sorted(cells):
+            wanted += [(c, bucket, k, k - before) for k in targets if before <= k < before + n]
+            before += n
+    if not wanted:
+        return {c: [] for c in cols}
+
+    spark = df.sparkSession
+    cells = small_table(
+        spark, sorted({(c, b) for c, b, _, _ in wanted}), "column string, bucket int"
+    )
+    picks = small_table(spark, wanted, "column string, bucket int, k bigint, at bigint")
+    inside = Window.partitionBy("column", "bucket").orderBy("x").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    # Both small tables have at most two rows per column and probability.
+    ordered = (
+        long.join(F.broadcast(cells), ["column", "bucket"])
+        .groupBy("column", "bucket", "x")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .withColumn("cum", F.sum("c").over(inside))
+        .join(F.broadcast(picks), ["column", "bucket"])
+        .filter((F.col("at") >= F.col("cum") - F.col("c")) & (F.col("at") < F.col("cum")))
+    )
+    found = {(r["column"], r["k"]): r["x"] for r in ordered.select("column", "k", "x").collect()}
+
+    def value(c: str, rank: float) -> float:
+        low, high = found[c, math.floor(rank)], found[c, math.ceil(rank)]
+        return low + (high - low) * (rank - math.floor(rank))
+
+    return {c: [value(c, r) for r in ranks[c]] for c in cols}

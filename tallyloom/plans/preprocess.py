@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import spec as specs
 from tallyloom.operators.cleaning import clean, engineer, fill_categories
-from tallyloom.operators.ordering import exact_quantiles
+from tallyloom.operators.ordering import fitted_quantiles
 from tallyloom.spec import TabularSpec
 
 MAX_CATEGORIES = 10_000
@@ -85,9 +85,7 @@ class MedianScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     def _fit(self, dataset: DataFrame) -> MedianScalerModel:
         cols = self.getOrDefault(self.inputCols)
         numbers = dataset.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        rows = exact_quantiles(numbers, cols, [0.5]).collect()
-        median = {r["column"]: r["value"] for r in rows}
-        median = {c: float(median.get(c, 0.0)) for c in cols}
+        median = {c: v[0] if v else 0.0 for c, v in fitted_quantiles(numbers, cols, [0.5]).items()}
         filled = {c: F.coalesce(F.nanvl(F.col(c), F.lit(None)), F.lit(median[c])) for c in cols}
         moments = numbers.agg(
             *[F.avg(filled[c]).alias(f"m{i}") for i, c in enumerate(cols)],
@@ -95,14 +93,13 @@ class MedianScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
         ).first()
         mean = [float(moments[f"m{i}"] or 0.0) for i in range(len(cols))]
         scale = [float(moments[f"s{i}"] or 0.0) or 1.0 for i in range(len(cols))]
-        model = MedianScalerModel(
+        return MedianScalerModel(
             inputCols=cols,
             suffix=self.getOrDefault(self.suffix),
             medians=[median[c] for c in cols],
             means=mean,
             scales=scale,
         )
-        return model.setParent(self) if hasattr(model, "setParent") else model
 
 
 class MedianScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):

@@ -43,6 +43,7 @@ from tallyloom.plans.preprocess import (
     stateless_stages,
 )
 from tallyloom.operators.splitting import kfold
+from tallyloom.session import small_table
 
 # Near-tie distance, improvement gate, regression gate.
 TIE_EPSILON = 0.002
@@ -181,7 +182,8 @@ def compare_candidates(
 
 
 def comparison_table(spark: SparkSession, results: Sequence[CandidateResult]) -> DataFrame:
-    return spark.createDataFrame(
+    return small_table(
+        spark,
         [
             (r.name, r.cv_f1, r.fold_std, r.band_std, r.n_trials, r.seconds)
             for r in sorted(results, key=lambda r: -r.cv_f1)
@@ -209,7 +211,7 @@ def out_of_fold(
 ) -> DataFrame:
     """(id, label, p) where every row is scored by the model that did not see it."""
     s = spec_by_name(spec_name)
-    folded = kfold(prepared, s.id_col, LABEL, k, seed)
+    folded = kfold(prepared, s.id_col, LABEL, k, seed).persist()
     out = None
     for i in range(k):
         train = placed(folded.filter(F.col("fold") != i), s.id_col)
@@ -218,6 +220,8 @@ def out_of_fold(
         model = Pipeline(stages=stages).fit(train.withColumn(WEIGHT, row_weight(name, facts)))
         part = _scored(model, folded.filter(F.col("fold") == i), s.id_col)
         out = part if out is None else out.unionByName(part)
+    # The result is lazy; the folds are deterministic, so it is right with or without cache.
+    folded.unpersist()
     return out
 
 

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSession:
@@ -38,3 +40,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="tallyloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a local relation: no job, and a size the planner knows."""
+    fields = T.StructType.fromDDL(schema).fields
+    columns = {f.name: [r[i] for r in rows] for i, f in enumerate(fields)}
+    df = spark.createDataFrame(pa.table(columns))
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in fields])
+
+
+def ordering_buckets(spark: SparkSession) -> int:
+    """How many pieces an ordered column is cut into: a few per shuffle partition."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(32, min(4096, 4 * partitions))
