@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import bucketed_row_number
+from tallyloom.session import ship_by_value
 
 # Window length and allowance per key.
 WINDOW_SECONDS = 60
@@ -31,6 +32,8 @@ LIMIT_PER_WINDOW = 120
 CHUNK_SECONDS = 900
 _NONE = -(2**62)
 
+ship_by_value(__name__)
+
 
 def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Re-cut sorted batches so that no (k, chunk) group is split over two blocks."""

@@ -29,7 +29,7 @@ from tallyloom.plans.preprocess import (
 )
 from tallyloom.plans.scoring import score_batch
 from tallyloom.plans.snapshot import SNAPSHOT_COLUMNS, account_snapshot
-from tallyloom.session import scratch_dir, small_table
+from tallyloom.session import scratch_dir, small_table, stored
 from tallyloom.sources import checksum, prediction_log, registry, reports
 from tallyloom.sources.csv_table import read_csv, write_assignments, write_csv
 from tallyloom.sources.requests import flatten_items, parse_batches
@@ -65,6 +65,11 @@ def _r(name: str, digits: int = 6):
     return F.round(F.col(name), digits).alias(name)
 
 
+def _stored_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The snapshot as a table, for queries that pass over it more than once."""
+    return stored(account_snapshot(spark, d), "snapshot")
+
+
 def _grouped(spark: SparkSession, d: str) -> DataFrame:
     return account_snapshot(spark, d).withColumn("tenure_group", tenure_group(F.col("tenure")))
 
@@ -113,7 +118,7 @@ def feature_label_frame(spark, d):
 
 
 def _violations(spark, d):
-    bad = X.defective_snapshot(spark, d)
+    bad = stored(X.defective_snapshot(spark, d), "defective")
     return C.violations(bad, C.raw_contract(ACCOUNT), KEY).unionByName(
         C.unique_violations(bad, KEY)
     )
@@ -255,13 +260,13 @@ def top2_rate_per_column(spark, d):
 
 @query
 def five_number_by_class(spark, d):
-    boxes = P.five_numbers(account_snapshot(spark, d), NUMBERS, LABEL)
+    boxes = P.five_numbers(_stored_snapshot(spark, d), NUMBERS, LABEL)
     return _boxes(boxes)
 
 
 @query
 def five_number_by_service(spark, d):
-    return _boxes(P.five_numbers(account_snapshot(spark, d), ["monthly_charges"], "last_status"))
+    return _boxes(P.five_numbers(_stored_snapshot(spark, d), ["monthly_charges"], "last_status"))
 
 
 def _boxes(boxes):
@@ -291,7 +296,7 @@ def redundancy_check(spark, d):
 
 
 def _split(spark, d):
-    return S.stratified_split(account_snapshot(spark, d), KEY, LABEL)
+    return S.stratified_split(_stored_snapshot(spark, d), KEY, LABEL)
 
 
 @query
@@ -329,7 +334,7 @@ def hash_split(spark, d):
 
 @query
 def kfold_assignment(spark, d):
-    return S.kfold(account_snapshot(spark, d), KEY, LABEL).select(KEY, "fold")
+    return S.kfold(_stored_snapshot(spark, d), KEY, LABEL).select(KEY, "fold")
 
 
 @query
@@ -339,12 +344,12 @@ def seeded_sample(spark, d):
 
 @query
 def class_weights(spark, d):
-    return S.class_weights(account_snapshot(spark, d), LABEL).select(LABEL, "n", _r("weight"))
+    return S.class_weights(_stored_snapshot(spark, d), LABEL).select(LABEL, "n", _r("weight"))
 
 
 @query
 def majority_baseline(spark, d):
-    split = with_label(_split(spark, d), ACCOUNT)
+    split = stored(with_label(_split(spark, d), ACCOUNT), "split")
     return TR.majority_baseline(
         split.filter("split = 'train'"), split.filter("split = 'test'")
     ).select("majority", "n", _r("precision"), _r("recall"), _r("f1"), "roc_auc")
@@ -437,7 +442,7 @@ def fairness_slices(spark, d):
 
 @query
 def feature_auc_screen(spark, d):
-    df = with_label(clean(account_snapshot(spark, d), ACCOUNT), ACCOUNT)
+    df = with_label(clean(_stored_snapshot(spark, d), ACCOUNT), ACCOUNT)
     return M.single_feature_auc(df, "label", ACCOUNT.numeric, ACCOUNT.categorical)
 
 
@@ -633,12 +638,12 @@ def file_checksums(spark, d):
 
 
 def _prepared(spark, d):
-    return TR.prepare(X.planted_accounts(spark, d), "ACCOUNT")
+    return TR.prepare(stored(X.planted_accounts(spark, d), "planted"), "ACCOUNT")
 
 
 @query
 def impute_scale(spark, d):
-    cleaned = engineer(clean(_split(spark, d), ACCOUNT), ACCOUNT)
+    cleaned = engineer(clean(stored(_split(spark, d), "split"), ACCOUNT), ACCOUNT)
     columns = [*NUMBERS, "avg_monthly_charges"]
     model = MedianScaler(inputCols=columns).fit(cleaned.filter("split = 'train'"))
     return model.transform(cleaned).select(KEY, *[_r(f"{c}_scaled") for c in columns])
@@ -656,7 +661,7 @@ def one_hot_slots(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     columns = ["last_status", "segment", "last_priority"]
-    split = _split(spark, d)
+    split = stored(_split(spark, d), "split")
     model = Pipeline(stages=one_hot_stages(columns)).fit(split.filter("split = 'train'"))
     indexer = model.stages[0]
     cells = [
@@ -690,7 +695,7 @@ def one_hot_slots(spark, d):
 
 @query
 def oof_logreg(spark, d):
-    prepared = _prepared(spark, d).persist()
+    prepared = _prepared(spark, d)
     scored = TR.out_of_fold(prepared, "ACCOUNT", "logreg", {"max_iter": 10}, k=3)
     return M.metric_record(scored, "label", "p", 0.5).drop("confusion")
 
@@ -711,9 +716,8 @@ def cv_candidates(spark, d):
 
 
 def _final(spark, d, name="random_forest", params=None):
-    split = S.stratified_split(
-        X.planted_accounts(spark, d), KEY, LABEL, check_unique=False
-    ).persist()
+    planted = stored(X.planted_accounts(spark, d), "planted")
+    split = stored(S.stratified_split(planted, KEY, LABEL, check_unique=False), "planted-split")
     params = params or {"n_estimators": 20, "max_depth": 6}
     parts = {s: split.filter(F.col("split") == s) for s in ("train", "validation", "test")}
     final = TR.fit_final(parts["train"], parts["validation"], "ACCOUNT", name, params)

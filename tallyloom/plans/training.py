@@ -43,7 +43,7 @@ from tallyloom.plans.preprocess import (
     stateless_stages,
 )
 from tallyloom.operators.splitting import kfold
-from tallyloom.session import small_table
+from tallyloom.session import small_table, stored
 
 # Near-tie distance, improvement gate, regression gate.
 TIE_EPSILON = 0.002
@@ -220,9 +220,9 @@ def out_of_fold(
         model = Pipeline(stages=stages).fit(train.withColumn(WEIGHT, row_weight(name, facts)))
         part = _scored(model, folded.filter(F.col("fold") == i), s.id_col)
         out = part if out is None else out.unionByName(part)
-    # The result is lazy; the folds are deterministic, so it is right with or without cache.
+    scores = stored(out, "out-of-fold")
     folded.unpersist()
-    return out
+    return scores
 
 
 @dataclass
@@ -255,8 +255,8 @@ def fit_final(
 
 
 def evaluate_final(final: FinalModel, test: DataFrame, spec_name: str) -> DataFrame:
-    """The full metric record on the test split, evaluated once."""
-    scored = _scored(final.model, test, spec_by_name(spec_name).id_col)
+    """The full metric record on the test split, which is scored once and stored."""
+    scored = stored(_scored(final.model, test, spec_by_name(spec_name).id_col), "test-scores")
     return metric_record(scored, LABEL, "p", final.threshold)
 
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -21,6 +23,7 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -29,6 +32,11 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
     return spark
 
 
+def ship_by_value(module_name: str) -> None:
+    """Send the task functions of a module with the job, so executors need not install it."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
@@ -42,6 +50,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write once, read many: a table in the scratch folder for inputs of several passes.
+
+    It cuts the lineage without keeping anything on executors that may be lost.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few driver-side rows as a local relation: no job, and a size the planner knows."""
     fields = T.StructType.fromDDL(schema).fields

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyloom.operators.quota import LIMIT_PER_WINDOW, WINDOW_SECONDS
+from tallyloom.session import ship_by_value
 
 _OUT = (
     "key string, event_id bigint, ts_us bigint, window_start_us bigint, "
@@ -23,6 +24,8 @@ _OUT = (
 )
 _STATE = "start_us bigint, n bigint"
 
+ship_by_value(__name__)
+
 
 def _step(limit: int, window_us: int):
     def run(
