@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import present
-from tallyloom.session import ordering_buckets, small_table
+from tallyloom.session import ordering_buckets, small_table, stored
 
 
 def quantile_edges(
@@ -189,7 +189,7 @@ def exact_quantiles(
     cells = long.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
     located = bucket_offsets(cells, series, "bucket", ["n"])
     rank = F.col("prob") * (F.col("n_all") - 1).cast("double")
-    wanted = (
+    ranks = (
         located.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("frac", rank - F.floor(rank))
         .withColumn(
@@ -206,6 +206,9 @@ def exact_quantiles(
             F.first("n_all").alias("n_all"),
         )
     )
+    # Written once: it is used twice, and as a table its size is known, so Spark broadcasts it
+    # (few groups) or joins it by shuffle (very many groups) on its own.
+    wanted = stored(ranks, "quantile-ranks")
     values = (
         long.join(wanted.select(*cell), cell, "left_semi")
         .groupBy(*cell, "x")

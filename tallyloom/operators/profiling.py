@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.numeric import present, safe_ratio
 from tallyloom.functions.text import to_number
 from tallyloom.operators.ordering import exact_quantiles
+from tallyloom.session import stored
 from tallyloom.spec import TabularSpec
 
 QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
@@ -137,8 +138,9 @@ def top_rates(rates: DataFrame, k: int = 2) -> DataFrame:
 def five_numbers(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """Exact box-plot numbers per (column, group): quartiles, 1.5 IQR fences, outliers.
 
-    The outlier count is a second pass against the fences, which are one row per
-    (column, group).
+    The outlier count is a second pass against the fences. They are one row per
+    (column, group) and written first, so that their size is known: few groups are broadcast
+    and the rows stay where they are, very many groups are joined by shuffle.
     """
     numeric = df.select(
         F.coalesce(F.col(group).cast("string"), F.lit("missing")).alias("group"),
@@ -157,6 +159,7 @@ def five_numbers(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame
     boxes = boxes.withColumns(
         {"low_fence": F.col("q1") - 1.5 * iqr, "high_fence": F.col("q3") + 1.5 * iqr}
     )
+    boxes = stored(boxes, "boxes")
     long = numeric.unpivot(["group"], list(columns), "column", "x").filter(present(F.col("x")))
     outside = (
         long.join(boxes.select("column", "group", "low_fence", "high_fence"), ["column", "group"])

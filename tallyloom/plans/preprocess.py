@@ -18,6 +18,15 @@ from tallyloom.spec import TabularSpec
 MAX_CATEGORIES = 10_000
 
 
+def require_low_cardinality(df: DataFrame, columns, limit: int = MAX_CATEGORIES) -> DataFrame:
+    """One-hot labels of every column reach the driver, so their number is checked first."""
+    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict()
+    wide = sorted(c for c, n in counts.items() if n > limit)
+    if wide:
+        raise ValueError(f"too many categories to one-hot encode: {wide}")
+    return df
+
+
 def spec_by_name(name: str) -> TabularSpec:
     return {"TELCO": specs.TELCO, "ACCOUNT": specs.ACCOUNT}[name]
 

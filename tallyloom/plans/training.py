@@ -38,6 +38,7 @@ from tallyloom.plans.estimators import (
 from tallyloom.plans.preprocess import (
     encoder_stages,
     full_pipeline,
+    require_low_cardinality,
     slot_names,
     spec_by_name,
     stateless_stages,
@@ -89,6 +90,7 @@ def fold_pairs(prepared: DataFrame, spec_name: str, k: int) -> list[tuple[DataFr
     The encoded rows are reused by every candidate and trial.
     """
     s = spec_by_name(spec_name)
+    require_low_cardinality(prepared, s.model_categorical)
     pairs = []
     for i in range(k):
         train, held = prepared.filter(F.col("fold") != i), prepared.filter(F.col("fold") == i)
@@ -244,8 +246,9 @@ def fit_final(
 
     ``train`` and ``validation`` are raw rows with ``label``; the model holds every stage.
     """
-    key = spec_by_name(spec_name).id_col
-    train = placed(train, key)
+    s = spec_by_name(spec_name)
+    key = s.id_col
+    train = placed(require_low_cardinality(train, s.categorical), key)
     facts = training_facts(train)
     pipeline = full_pipeline(spec_name, build_estimator(name, params, facts))
     model = pipeline.fit(train.withColumn(WEIGHT, row_weight(name, facts)))
