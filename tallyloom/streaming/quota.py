@@ -72,13 +72,16 @@ def stream_quota_flags(
     event_id: str,
     limit: int = LIMIT_PER_WINDOW,
     window_seconds: int = WINDOW_SECONDS,
-    delay: str = "0 seconds",
+    delay: str | None = None,
 ) -> DataFrame:
     """Streaming form of ``quota_flags`` for events that arrive in time order per key.
 
-    An event of a key that arrives late counts in that key's open window. Only one trigger's
-    rows of a key are held at a time; bound them with the source's per-trigger limits.
+    An event that arrives out of order counts in its key's open window. Events more than
+    ``delay`` (by default one window) behind the newest event seen are dropped, because the
+    state they belong to may be gone. Only one trigger's rows of a key are held at a time;
+    bound them with the source's per-trigger limits.
     """
+    delay = delay or f"{window_seconds} seconds"
     slim = events.select(
         F.col(key).cast("string").alias("key"),
         F.col(micros).cast("bigint").alias("ts_us"),
