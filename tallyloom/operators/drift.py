@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import closed_last_bin, floor_at, present
-from tallyloom.operators.ordering import fitted_quantiles
-from tallyloom.session import small_table
+from tallyloom.operators.ordering import fitted_quantiles, quantile_edges
+from tallyloom.session import small_table, stored
 
 # Floor of a share, number of bins, status bounds, window and minimum size.
 EPSILON = 1e-6
@@ -26,16 +26,7 @@ RETRAIN_ALERTS = 3
 FEW_VALUES = 10
 OTHER = "__other__"
 MISSING = "missing"
-
-
-def decile_edges(
-    df: DataFrame, features: Sequence[str], bins: int = BINS
-) -> dict[str, list[float]]:
-    """Distinct exact quantiles per feature (at most ``bins + 1`` numbers each)."""
-    if not features:
-        return {}
-    probs = [i / bins for i in range(bins + 1)]
-    return {f: sorted(set(v)) for f, v in fitted_quantiles(df, features, probs).items()}
+OUTSIDE = -1
 
 
 def few_valued(df: DataFrame, features: Sequence[str], limit: int = FEW_VALUES) -> list[str]:
@@ -53,47 +44,43 @@ def few_valued(df: DataFrame, features: Sequence[str], limit: int = FEW_VALUES)
     return [c for c in close if exact[c] <= limit]
 
 
-def _binned(edges: dict[str, list[float]], keep: Sequence[str]) -> list[Column]:
+def feature_cells(
+    df: DataFrame,
+    edges: dict[str, list[float]],
+    categorical: Sequence[str],
+    group_cols: Sequence[str] = (),
+) -> DataFrame:
+    """Counts (group..., feature, bin, category, n) of all features from one scan.
+
+    Numeric features fill ``bin`` (-1 outside the edges), categorical ones ``category``, where
+    a missing value is a category of its own. Counts are combined before the shuffle, so its
+    size follows the number of cells, not of rows. Batch or streaming.
+    """
     cells = [
         F.struct(
             F.lit(f).alias("feature"),
-            closed_last_bin(F.col(f).cast("double"), e).alias("bin"),
+            F.coalesce(closed_last_bin(F.col(f).cast("double"), e), F.lit(OUTSIDE)).alias("bin"),
+            F.lit(None).cast("string").alias("category"),
             present(F.col(f).cast("double")).alias("has_value"),
         )
         for f, e in edges.items()
+        if len(e) >= 2
     ]
-    return [*[F.col(k) for k in keep], F.inline(F.array(*cells))]
-
-
-def numeric_counts(
-    df: DataFrame, edges: dict[str, list[float]], group_cols: Sequence[str] = ()
-) -> DataFrame:
-    """Histogram counts per (group..., feature, bin); a NULL bin holds out-of-range values."""
-    usable = {f: e for f, e in edges.items() if len(e) >= 2}
-    if not usable:
-        raise ValueError("no numeric feature has two distinct edges")
-    return (
-        df.select(*_binned(usable, group_cols))
-        .filter("has_value")
-        .groupBy(*group_cols, "feature", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def category_counts(
-    df: DataFrame, features: Sequence[str], group_cols: Sequence[str] = ()
-) -> DataFrame:
-    """Counts per (group..., feature, category); a missing category is its own category."""
-    cells = [
+    cells += [
         F.struct(
             F.lit(f).alias("feature"),
+            F.lit(None).cast("int").alias("bin"),
             F.coalesce(F.col(f).cast("string"), F.lit(MISSING)).alias("category"),
+            F.lit(True).alias("has_value"),
         )
-        for f in features
+        for f in categorical
     ]
+    if not cells:
+        raise ValueError("no usable feature: numeric ones need two distinct edges")
     return (
         df.select(*group_cols, F.inline(F.array(*cells)))
-        .groupBy(*group_cols, "feature", "category")
+        .filter("has_value")
+        .groupBy(*group_cols, "feature", "bin", "category")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -110,44 +97,42 @@ def fit_reference(
     Numeric features with ten values or fewer are treated as categories, because deciles of
     a 0/1 column collapse to one bin that can never drift; ``compat`` keeps them numeric.
     """
-    few = [] if compat else few_valued(df, numeric)
+    cuts = quantile_edges(df, numeric) if numeric else {}
+    few: list[str] = []
+    if not compat:
+        # So few values have as few distinct cut points.
+        few = few_valued(df, [f for f in numeric if len(cuts[f]) <= FEW_VALUES])
     numeric = [f for f in numeric if f not in few]
-    categorical = [*categorical, *few]
-    parts = []
-    edges = decile_edges(df, numeric, bins)
-    usable = {f: e for f, e in edges.items() if len(e) >= 2}
-    if usable:
-        parts.append(_numeric_reference(df, usable))
-    if categorical:
-        parts.append(_category_reference(df, categorical))
-    if not parts:
-        raise ValueError("no usable feature in the reference data")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _share(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("n_all"))
+    probs = [i / bins for i in range(bins + 1)]
+    deciles = fitted_quantiles(df, numeric, probs, edges=cuts) if numeric else {}
+    edges = {f: sorted(set(v)) for f, v in deciles.items() if len(set(v)) >= 2}
+
+    cells = stored(feature_cells(df, edges, [*categorical, *few]), "reference-cells")
+    shares = cells.filter("bin is null or bin >= 0")
+    totals = shares.groupBy("feature").agg(F.sum("n").alias("n_all"))
     # One row per feature.
-    return counts.join(F.broadcast(totals), "feature").select(
-        *keys, (F.col("n") / F.col("n_all")).alias("expected")
+    shares = shares.join(F.broadcast(totals), "feature").select(
+        "feature", "bin", "category", (F.col("n") / F.col("n_all")).alias("expected")
     )
-
-
-def _numeric_reference(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    shares = _share(numeric_counts(df, edges).filter("bin is not null"), ["feature", "bin"])
+    known = shares.filter("category is not null").select(
+        "feature",
+        F.lit("categorical").alias("kind"),
+        "bin",
+        F.lit(None).cast("double").alias("lo"),
+        F.lit(None).cast("double").alias("hi"),
+        "category",
+        "expected",
+    )
+    if not edges:
+        return known
     grid = small_table(
         df.sparkSession,
-        [
-            (f, i, float(e[i]), float(e[i + 1]))
-            for f, e in edges.items()
-            for i in range(len(e) - 1)
-        ],
+        [(f, i, e[i], e[i + 1]) for f, e in edges.items() for i in range(len(e) - 1)],
         "feature string, bin int, lo double, hi double",
     )
-    return grid.join(shares, ["feature", "bin"], "left").select(
+    binned = grid.join(
+        shares.filter("bin is not null").drop("category"), ["feature", "bin"], "left"
+    ).select(
         "feature",
         F.lit("numeric").alias("kind"),
         "bin",
@@ -156,19 +141,7 @@ def _numeric_reference(df: DataFrame, edges: dict[str, list[float]]) -> DataFram
         F.lit(None).cast("string").alias("category"),
         F.coalesce("expected", F.lit(0.0)).alias("expected"),
     )
-
-
-def _category_reference(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    shares = _share(category_counts(df, features), ["feature", "category"])
-    return shares.select(
-        "feature",
-        F.lit("categorical").alias("kind"),
-        F.lit(None).cast("int").alias("bin"),
-        F.lit(None).cast("double").alias("lo"),
-        F.lit(None).cast("double").alias("hi"),
-        "category",
-        "expected",
-    )
+    return binned.unionByName(known)
 
 
 def reference_edges(reference: DataFrame) -> dict[str, list[float]]:
@@ -205,69 +178,102 @@ def psi(cells: DataFrame, keys: Sequence[str], expected: str = "e", actual: str
     )
 
 
-def psi_numeric(
-    reference: DataFrame, current: DataFrame, group_cols: Sequence[str] = ()
+def psi_of_cells(
+    reference: DataFrame, cells: DataFrame, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """PSI of the numeric features, with the number of values outside the reference range.
+    """(group..., feature, kind, psi, n_out_of_range) from observed counts.
 
-    Features without a value in the current rows are left out. If every value is out of
-    range the observed shares are all floored, that is uniform.
+    Numbers outside the reference range are left out and counted; if all are outside, the
+    observed shares are all floored, that is uniform. Categories unknown to the reference are
+    pooled with expected share 0, and for categories the floor acts on counts, not shares.
+    Features without any observed value are left out.
     """
-    edges = {f: e for f, e in reference_edges(reference).items() if f in current.columns}
-    counts = numeric_counts(current, edges, group_cols)
     keys = [*group_cols, "feature"]
-    totals = counts.groupBy(*keys).agg(
-        F.sum(F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)).alias("n_in"),
-        F.sum(F.when(F.col("bin").isNull(), F.col("n")).otherwise(0)).alias("n_out_of_range"),
+    kind = F.when(F.col("category").isNull(), "numeric").otherwise("categorical")
+    seen = cells.select(
+        *keys,
+        kind.alias("kind"),
+        F.coalesce("category", F.col("bin").cast("string")).alias("cell"),
+        "n",
+    )
+    known = reference.select(
+        "feature",
+        "kind",
+        F.coalesce("category", F.col("bin").cast("string")).alias("cell"),
+        "expected",
     )
-    bins = reference.filter(F.col("kind") == "numeric").select("feature", "bin", "expected")
-    grid = totals.join(bins, "feature")
-    cells = grid.join(
-        counts.filter("bin is not null"), [*keys, "bin"], "left"
-    ).withColumn(
-        "share", F.coalesce("n", F.lit(0)) / F.greatest(F.col("n_in"), F.lit(1)).cast("double")
+    pool = (
+        known.filter(F.col("kind") == "categorical")
+        .select("feature", "kind")
+        .distinct()
+        .select("feature", "kind", F.lit(OTHER).alias("cell"), F.lit(0.0).alias("expected"))
+    )
+    outside = (F.col("kind") == "numeric") & (F.col("cell") == str(OUTSIDE))
+    per_feature = seen.groupBy(*keys, "kind").agg(
+        F.sum(F.when(~outside, F.col("n")).otherwise(0)).alias("n_in"),
+        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("n_out_of_range"),
+    )
+    placed = (
+        seen.filter(~outside)
+        .join(known, ["feature", "kind", "cell"], "left")
+        .select(
+            *keys,
+            "kind",
+            F.when(F.col("expected").isNull(), OTHER).otherwise(F.col("cell")).alias("cell"),
+            "n",
+        )
+        .groupBy(*keys, "kind", "cell")
+        .agg(F.sum("n").alias("n"))
+    )
+    # Every observed feature meets each of its reference cells, also those without a row.
+    grid = per_feature.join(known.unionByName(pool), ["feature", "kind"])
+    count = F.coalesce("n", F.lit(0)).cast("double")
+    paired = grid.join(placed, [*keys, "kind", "cell"], "left").withColumn(
+        "actual",
+        F.when(F.col("kind") == "categorical", count).otherwise(
+            count / F.greatest(F.col("n_in"), F.lit(1))
+        ),
+    )
+    return psi(paired, [*keys, "kind", "n_out_of_range"], "expected", "actual").select(
+        *keys, "kind", "psi", "n_out_of_range"
     )
-    scored = psi(cells, [*keys, "n_out_of_range"], "expected", "share")
-    return scored.select(*keys, F.lit("numeric").alias("kind"), "psi", "n_out_of_range")
 
 
-def psi_categorical(
-    reference: DataFrame,
-    current: DataFrame,
-    features: Sequence[str],
-    group_cols: Sequence[str] = (),
+def observed_cells(
+    reference: DataFrame, current: DataFrame, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """PSI of the categorical features; categories unknown to the reference are pooled.
+    """Counts of the current rows in the cells of the reference, written as a small table.
 
-    The floor acts on observed counts (not shares) before they are normalised, and the pool
-    has expected share 0.
+    This is the only pass over the current rows. Features of the reference that the current
+    table lacks are skipped.
     """
-    counts = category_counts(current, [f for f in features if f in current.columns], group_cols)
-    known = reference.filter(F.col("kind") == "categorical").select(
-        "feature", "category", "expected"
-    )
-    keys = [*group_cols, "feature"]
-    labelled = counts.join(known.select("feature", "category", "expected"),
-                           ["feature", "category"], "left").select(
-        *keys,
-        F.when(F.col("expected").isNotNull(), F.col("category")).otherwise(OTHER).alias("category"),
-        "n",
-    ).groupBy(*keys, "category").agg(F.sum("n").alias("n"))
-    pool = known.select("feature").distinct().select(
-        "feature", F.lit(OTHER).alias("category"), F.lit(0.0).alias("expected")
-    )
-    grid = counts.select(*keys).distinct().join(known.unionByName(pool), "feature")
-    cells = grid.join(labelled, [*keys, "category"], "left").withColumn(
-        "count", F.coalesce("n", F.lit(0)).cast("double")
-    )
-    return psi(cells, keys, "expected", "count").select(
-        *keys,
-        F.lit("categorical").alias("kind"),
-        "psi",
-        F.lit(0).cast("bigint").alias("n_out_of_range"),
+    edges = {f: e for f, e in reference_edges(reference).items() if f in current.columns}
+    named = reference.filter(F.col("kind") == "categorical").select("feature").distinct()
+    categorical = sorted(r["feature"] for r in named.collect())
+    return stored(
+        feature_cells(
+            current, edges, [f for f in categorical if f in current.columns], group_cols
+        ),
+        "observed-cells",
     )
 
 
+def psi_numeric(
+    reference: DataFrame, current: DataFrame, group_cols: Sequence[str] = ()
+) -> DataFrame:
+    """PSI of the numeric features only."""
+    part = reference.filter(F.col("kind") == "numeric")
+    return psi_of_cells(part, observed_cells(part, current, group_cols), group_cols)
+
+
+def psi_categorical(
+    reference: DataFrame, current: DataFrame, group_cols: Sequence[str] = ()
+) -> DataFrame:
+    """PSI of the categorical features only."""
+    part = reference.filter(F.col("kind") == "categorical")
+    return psi_of_cells(part, observed_cells(part, current, group_cols), group_cols)
+
+
 def status_of(psi_col: Column, warning: float = WARNING, alert: float = ALERT) -> Column:
     return F.when(psi_col < warning, "ok").when(psi_col < alert, "warning").otherwise("alert")
 
@@ -280,21 +286,10 @@ def drift_report(
     alert: float = ALERT,
 ) -> DataFrame:
     """(group..., feature, kind, psi, status, n_out_of_range); status uses the exact PSI."""
-    kinds = {
-        (r["feature"], r["kind"]) for r in reference.select("feature", "kind").distinct().collect()
-    }
-    categorical = sorted(f for f, k in kinds if k == "categorical" and f in current.columns)
-    parts = []
-    if any(k == "numeric" and f in current.columns for f, k in kinds):
-        parts.append(psi_numeric(reference, current, group_cols))
-    if categorical:
-        parts.append(psi_categorical(reference, current, categorical, group_cols))
-    if not parts:
-        raise ValueError("the current data has no feature of the reference")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select(
+    scored = psi_of_cells(
+        reference, observed_cells(reference, current, group_cols), group_cols
+    )
+    return scored.select(
         *group_cols,
         "feature",
         "kind",

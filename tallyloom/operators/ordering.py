@@ -241,6 +241,7 @@ def fitted_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     n_buckets: int | None = None,
+    edges: dict[str, list[float]] | None = None,
 ) -> dict[str, list[float]]:
     """Exact interpolated quantiles of whole columns, brought to the driver for a fit.
 
@@ -248,8 +249,8 @@ def fitted_quantiles(
     and the ordered values of only those buckets that hold a wanted rank. A column without
     values gives an empty list.
     """
-    edges = quantile_edges(df, cols, n_buckets)
-    long = melt_buckets(df, cols, [], edges)
+    edges = edges or quantile_edges(df, cols, n_buckets)
+    long = melt_buckets(df, cols, [], {c: edges[c] for c in cols})
     counts: dict[str, list[tuple[int, int]]] = {c: [] for c in cols}
     for r in long.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r["column"]].append((r["bucket"], r["n"]))

@@ -24,7 +24,7 @@ class EstimatorUnavailableError(RuntimeError):
 
 # Search ranges per candidate (kind, low, high[, step]) or choices, trials.
 SEARCH_SPACES: dict[str, dict[str, tuple]] = {
-    "logreg": {"C": ("log", 1e-3, 1e2)},
+    "logreg": {"C": ("log", 1e-3, 1e2), "max_iter": ("choice", 2000)},
     "random_forest": {
         "n_estimators": ("int", 200, 700, 50),
         "max_depth": ("choice", None, 8, 12, 16, 24),

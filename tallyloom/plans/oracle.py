@@ -729,7 +729,7 @@ ORACLES: dict[str, str] = {
         _SCORED,
         "rng AS (SELECT y, min(p) AS lo, (max(p) - min(p)) / 40 AS w, count(*) AS nc "
         "FROM scored GROUP BY y)",
-        body="""SELECT y, bin, round(lo + bin * w, 6) AS left_edge, count(*) AS n,
+        body="""SELECT y, bin, round(lo + bin * w, 9) AS left_edge, count(*) AS n,
                 round(count(*) / (nc * w), 6) AS density
                 FROM (SELECT s.y, lo, w, nc,
                         CAST(least(floor((p - lo) / w), 39) AS INTEGER) AS bin

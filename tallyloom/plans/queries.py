@@ -419,7 +419,7 @@ def calibration(spark, d):
 @query
 def score_histogram(spark, d):
     return M.score_histogram(X.scored_events(spark, d), "y", "p").select(
-        "y", "bin", _r("left_edge"), "n", _r("density")
+        "y", "bin", _r("left_edge", 9), "n", _r("density")
     )
 
 
@@ -487,9 +487,8 @@ def psi_numeric(spark, d):
 @query
 def psi_categorical(spark, d):
     current = X.after_cut(X.event_features(spark, d))
-    return D.psi_categorical(_reference(spark, d), current, X.EVENT_CATEGORICAL).select(
-        "feature", _r("psi")
-    )
+    reference = _reference(spark, d).filter(F.col("feature").isin(*X.EVENT_CATEGORICAL))
+    return D.psi_categorical(reference, current).select("feature", _r("psi"))
 
 
 @query

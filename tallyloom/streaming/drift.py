@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numeric import closed_last_bin, present
-from tallyloom.operators.drift import MISSING, OTHER, psi, status_of
+from tallyloom.operators.drift import feature_cells, psi_of_cells, status_of
 
 
 def windowed_cells(
@@ -25,80 +24,20 @@ def windowed_cells(
     categorical: Sequence[str],
 ) -> DataFrame:
     """Streaming counts (window_start, feature, bin, category, n) in one aggregation."""
-    usable = {f: e for f, e in edges.items() if len(e) >= 2}
-    text = F.lit(None).cast("string")
-    cells = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.coalesce(closed_last_bin(F.col(f).cast("double"), e), F.lit(-1)).alias("bin"),
-            text.alias("category"),
-            present(F.col(f).cast("double")).alias("has_value"),
-        )
-        for f, e in usable.items()
-    ]
-    cells += [
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.lit(None).cast("int").alias("bin"),
-            F.coalesce(F.col(f).cast("string"), F.lit(MISSING)).alias("category"),
-            F.lit(True).alias("has_value"),
-        )
-        for f in categorical
-    ]
-    return (
-        events.withWatermark(event_time, delay)
-        .withColumn("span", F.window(event_time, window))
-        .select("span", event_time, F.inline(F.array(*cells)))
-        .filter("has_value")
-        .groupBy("span", "feature", "bin", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("span.start").alias("window_start"), "feature", "bin", "category", "n")
+    timed = events.withWatermark(event_time, delay).withColumn(
+        "span", F.window(event_time, window)
+    )
+    return feature_cells(timed, edges, categorical, ["span"]).select(
+        F.col("span.start").alias("window_start"), "feature", "bin", "category", "n"
     )
 
 
 def psi_from_cells(cells: DataFrame, reference: DataFrame) -> DataFrame:
     """(window_start, feature, psi, status) from appended window counts."""
-    keys = ["window_start", "feature"]
-    ref = reference.select(
-        "feature", F.coalesce(F.col("bin").cast("string"), "category").alias("cell"), "expected"
-    )
-    pool = (
-        reference.filter(F.col("kind") == "categorical")
-        .select("feature")
-        .distinct()
-        .select("feature", F.lit(OTHER).alias("cell"), F.lit(0.0).alias("expected"))
-    )
-    observed = cells.select(
-        *keys,
-        F.col("category").isNotNull().alias("is_category"),
-        F.coalesce("category", F.col("bin").cast("string")).alias("cell"),
-        "n",
-    )
-    # A category the reference does not know is pooled; a number outside its range (-1) is not.
-    placed = (
-        observed.join(ref, ["feature", "cell"], "left")
-        .select(
-            *keys,
-            F.when(F.col("expected").isNotNull(), F.col("cell"))
-            .when(F.col("is_category"), F.lit(OTHER))
-            .alias("cell"),
-            "is_category",
-            "n",
-        )
-        .filter("cell is not null")
-        .groupBy(*keys, "cell")
-        .agg(F.sum("n").alias("n"))
-    )
-    totals = placed.groupBy(*keys).agg(F.sum("n").alias("n_in"))
-    shown = observed.groupBy(*keys).agg(F.first("is_category").alias("is_category"))
-    grid = shown.join(totals, keys, "left").join(ref.unionByName(pool), "feature")
-    count = F.coalesce("n", F.lit(0)).cast("double")
-    paired = grid.join(placed, [*keys, "cell"], "left").withColumn(
-        "a",
-        F.when(F.col("is_category"), count).otherwise(
-            count / F.greatest(F.coalesce("n_in", F.lit(0)), F.lit(1))
-        ),
-    )
-    return psi(paired, keys, "expected", "a").select(
-        *keys, F.round("psi", 4).alias("psi"), status_of(F.col("psi")).alias("status")
+    scored = psi_of_cells(reference, cells, ["window_start"])
+    return scored.select(
+        "window_start",
+        "feature",
+        F.round("psi", 4).alias("psi"),
+        status_of(F.col("psi")).alias("status"),
     )

@@ -128,7 +128,7 @@ def test_categorical_psi_floors_counts_and_pools_unknown(spark):
     new_rows = ["a"] * 2 + ["z"] * 3 + ["y"]
     make = lambda rows: spark.createDataFrame([(r,) for r in rows], "c string")
     ref = D.fit_reference(make(ref_rows), [], ["c"])
-    value = D.psi_categorical(ref, make(new_rows), ["c"]).first()["psi"]
+    value = D.psi_categorical(ref, make(new_rows)).first()["psi"]
     # Order: a, b, missing, pool.
     assert value == pytest.approx(psi_plain(np.array([0.6, 0.3, 0.1, 0.0]), np.array([2.0, 0, 0, 4])))
 
