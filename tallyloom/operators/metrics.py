@@ -84,9 +84,13 @@ def confusion_metrics(
     return rates_from_counts(counts)
 
 
-def brier(df: DataFrame, y: str, p: str) -> DataFrame:
+def _brier_expr(y: str, p: str) -> Column:
     gap = F.col(p) - F.col(y)
-    return df.agg(F.avg(gap * gap).alias("brier"))
+    return F.avg(gap * gap)
+
+
+def brier(df: DataFrame, y: str, p: str) -> DataFrame:
+    return df.agg(_brier_expr(y, p).alias("brier"))
 
 
 def ranked_counts(
@@ -132,18 +136,21 @@ def _precision(tp: Column, fp: Column) -> Column:
     return F.when(tp + fp > 0, tp.cast("double") / (tp + fp).cast("double")).otherwise(F.lit(1.0))
 
 
+def _pr_expr() -> Column:
+    tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
+    width = pos.cast("double") / F.col("pos_all").cast("double")
+    height = (_precision(tp, fp) + _precision(tp - pos, fp - neg)) / 2.0
+    both = (F.max("pos_all") > 0) & (F.max("neg_all") > 0)
+    return F.when(both, F.sum(F.when(F.col("pos_all") > 0, width * height)))
+
+
 def pr_auc(ranked: DataFrame) -> DataFrame:
     """Trapezoid area under precision-recall, in curve order from (recall 0, precision 1).
 
     Each distinct score knows the counts above it, so a segment needs no neighbour row.
     Points of equal recall keep the curve order, which makes the area well defined.
     """
-    tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
-    width = pos.cast("double") / F.col("pos_all").cast("double")
-    height = (_precision(tp, fp) + _precision(tp - pos, fp - neg)) / 2.0
-    both = (F.max("pos_all") > 0) & (F.max("neg_all") > 0)
-    area = F.sum(F.when(F.col("pos_all") > 0, width * height))
-    return ranked.agg(F.when(both, area).alias("pr_auc"))
+    return ranked.agg(_pr_expr().alias("pr_auc"))
 
 
 def roc_points(ranked: DataFrame) -> DataFrame:
@@ -223,17 +230,23 @@ def best_threshold(sweep: DataFrame) -> DataFrame:
 def metric_record(
     df: DataFrame, y: str, p: str, threshold: float, n_buckets: int | None = None
 ) -> DataFrame:
-    """The whole metric suite as one row, confusion counts as a struct."""
-    ranked = ranked_counts(df, y, p, n_buckets)
-    one = confusion_metrics(df, y, p, threshold)
-    # Each side is one aggregate row; the constant key joins them.
-    key = F.lit(1).alias("k_")
-    joined = (
-        one.select("*", key)
-        .join(brier(df, y, p).select("*", key), "k_")
-        .join(roc_auc(ranked).select("*", key), "k_")
-        .join(pr_auc(ranked).select("*", key), "k_")
+    """The whole metric suite as one row, confusion counts as a struct.
+
+    One aggregate over the rows and one over the ranked scores; the two rows are merged.
+    """
+    counts = rates_from_counts(
+        df.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg(F.col(y).cast("double")).alias("positive_rate"),
+            _brier_expr(y, p).alias("brier"),
+            *confusion_aggregates(y, p, threshold),
+        )
+    )
+    areas = ranked_counts(df, y, p, n_buckets).agg(
+        _auc_expr().alias("roc_auc"), _pr_expr().alias("pr_auc")
     )
+    both = counts.unionByName(areas, allowMissingColumns=True)
+    joined = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
     return joined.select(
         F.lit(float(threshold)).alias("threshold"),
         F.col("n").alias("n_samples"),

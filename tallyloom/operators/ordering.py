@@ -59,9 +59,13 @@ def add_buckets(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
             splitsArray=[[-float("inf"), *e, float("inf")] for e in searched.values()],
             handleInvalid="keep",
         ).transform(out)
+    # Never NULL, so that joins on the bucket add no null filter to one of two equal branches
+    # (which would keep Spark from reusing their shuffle). Missing values are filtered later.
     return out.withColumns(
         {
-            f"{c}__bucket": F.col(f"{c}__bucket").cast("int") if c in searched else F.lit(0)
+            f"{c}__bucket": F.coalesce(F.col(f"{c}__bucket").cast("int"), F.lit(0))
+            if c in searched
+            else F.lit(0)
             for c in edges
         }
     )

@@ -21,12 +21,9 @@ def nested_report(report: DataFrame, summary: DataFrame, n_records: int) -> Data
     per_feature = report.agg(
         F.sort_array(F.collect_list(F.struct("feature", "psi", "status"))).alias("features")
     )
-    return (
-        summary.withColumn("k_", F.lit(1))
-        .join(per_feature.withColumn("k_", F.lit(1)), "k_")
-        .drop("k_")
-        .withColumn("n_records", F.lit(n_records))
-    )
+    both = summary.unionByName(per_feature, allowMissingColumns=True)
+    merged = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    return merged.withColumn("n_records", F.lit(n_records))
 
 
 def write_report(row: DataFrame, path: str) -> str:
