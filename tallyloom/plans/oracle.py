@@ -814,6 +814,10 @@ ORACLES: dict[str, str] = {
            feature, psi4 AS psi, status FROM result""",
         current="event_id IN (SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 500)",
     ),
+    "stream_tail_drift": _drift(
+        "SELECT feature, psi4 AS psi, status FROM result",
+        current="event_id IN (SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 500)",
+    ),
     "pseudonymised_log": _with(_LOG, body="SELECT * FROM logged"),
     "recent_log": _with(
         _LOG,

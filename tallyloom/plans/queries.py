@@ -20,13 +20,7 @@ from tallyloom.operators.quota import quota_flags
 from tallyloom.operators.rollup import request_rollup
 from tallyloom.plans import datasets as X
 from tallyloom.plans import training as TR
-from tallyloom.plans.estimators import build_estimator, training_facts
-from tallyloom.plans.preprocess import (
-    MedianScaler,
-    encoder_stages,
-    one_hot_stages,
-    slot_names,
-)
+from tallyloom.plans.preprocess import MedianScaler, one_hot_stages
 from tallyloom.plans.scoring import score_batch
 from tallyloom.plans.snapshot import SNAPSHOT_COLUMNS, account_snapshot
 from tallyloom.session import scratch_dir, small_table, stored
@@ -38,6 +32,7 @@ from tallyloom.spec import ACCOUNT
 from tallyloom.streaming.drift import psi_from_cells, windowed_cells
 from tallyloom.streaming.quota import stream_quota_flags
 from tallyloom.streaming.score_log import start_score_log
+from tallyloom.streaming.tail_drift import start_tail_drift
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -830,6 +825,25 @@ def stream_drift(spark, d):
     )
 
 
+@query
+def stream_tail_drift(spark, d):
+    """A log is followed; after its batch the last 500 records are compared."""
+    base = scratch_dir(spark, "stream-tail")
+    names = [*X.EVENT_NUMERIC, *X.EVENT_CATEGORICAL]
+    feats = X.event_features(spark, d).withColumn("p", F.lit(0.0)).withColumn("v", F.lit("No"))
+    records = prediction_log.log_records(
+        feats, names, "event_id", "p", "v", "v1",
+        F.lpad(F.col("event_id").cast("string"), 12, "0"), F.col("ts").cast("timestamp"),
+    )
+    prediction_log.append_log(records, f"{base}/log")
+    logged = T.StructType([*feats.select(*names).schema.fields])
+    start_tail_drift(
+        spark, f"{base}/log", prediction_log.log_schema(logged), _reference(spark, d),
+        f"{base}/reports", f"{base}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/reports").select("feature", "psi", "status")
+
+
 @query
 def stream_score_log(spark, d):
     base = scratch_dir(spark, "stream-score")

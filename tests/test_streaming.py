@@ -15,6 +15,7 @@ from tallyloom.spec import TELCO
 from tallyloom.streaming.drift import psi_from_cells, windowed_cells
 from tallyloom.streaming.quota import stream_quota_flags
 from tallyloom.streaming.score_log import start_score_log
+from tallyloom.streaming.tail_drift import start_tail_drift
 
 S = 1_000_000
 
@@ -129,3 +130,36 @@ def test_single_key_burst(spark, tmp_path, limit):
     rows = spark.read.parquet(f"{tmp_path}/out").collect()
     assert sorted(r["n_in_window"] for r in rows) == list(range(1, 51))
     assert sum(r["allowed"] for r in rows) == 1
+
+
+def test_tail_drift_follows_the_log(spark, tmp_path):
+    features = spark.range(1000).select(
+        F.col("id"),
+        F.timestamp_micros((F.col("id") * 600 + 1_700_000_000) * S).alias("t"),
+        F.when(F.col("id") < 900, F.pmod(F.col("id") * 7, F.lit(100))).otherwise(5)
+        .cast("double").alias("x"),
+        F.lit(0.5).alias("p"),
+        F.lit("Yes").alias("v"),
+    )
+    ref = D.fit_reference(features.filter("id < 800"), ["x"], []).persist()
+    log = str(tmp_path / "log")
+    schema = prediction_log.log_schema(features.select("x").schema)
+    assert prediction_log.read_recent(spark, log, schema, 5).count() == 0
+
+    def append_and_run(rows):
+        records = prediction_log.log_records(
+            rows, ["x"], "id", "p", "v", "1", F.lpad(F.col("id").cast("string"), 6, "0"), F.col("t")
+        )
+        prediction_log.append_log(records, log)
+        start_tail_drift(
+            spark, log, schema, ref, f"{tmp_path}/reports", f"{tmp_path}/cp", 100
+        ).awaitTermination()
+
+    append_and_run(features.filter("id < 40"))
+    assert not (tmp_path / "reports").exists()  # fewer than 50 records
+    append_and_run(features.filter("id >= 40 and id < 900"))
+    append_and_run(features.filter("id >= 900"))
+    rows = spark.read.parquet(f"{tmp_path}/reports").orderBy("batch").collect()
+    assert [r["status"] for r in rows] == ["ok", "alert"]
+    tail = prediction_log.read_recent(spark, log, schema, 100).collect()
+    assert {r["request_id"] for r in tail} == {f"{i:06d}" for i in range(900, 1000)}
