@@ -22,6 +22,7 @@ def local_session(cores: str = "8", shuffle_partitions: str = "8") -> SparkSessi
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tallyloom-"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
@@ -40,12 +41,15 @@ def ship_by_value(module_name: str) -> None:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables and stream checkpoints.
 
-    On a cluster it lies in the folder that ``spark.checkpoint.dir`` names, which every
-    executor can reach. Only where that setting is absent, as in a local test, is a
-    temporary folder of this machine used.
+    It lies in the folder that ``spark.checkpoint.dir`` names, which every executor can reach.
+    Only a session in one process (``local[n]``) may do without that setting and gets a
+    temporary folder; on a cluster its absence is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tallyloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
