@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, secret_scan, toxicity
+from tallyloom.llm import decontaminate, secret_scan, toxicity, trie_bpe
 from tallyloom.llm.common import held_out
 from tallyloom.sources.tables import table
 
@@ -60,3 +61,16 @@ def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
         "longest",
     )
+
+
+@query
+def op8_bpe(spark: SparkSession, d: str) -> DataFrame:
+    """Byte-level BPE ids of every document and the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = trie_bpe.decode_documents(trie_bpe.encode_documents(table(spark, d, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        trie_bpe.token_count().alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        sha256_of(F.col("decoded")).alias("decoded_sha256"),
+    )
