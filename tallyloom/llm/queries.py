@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, secret_scan, toxicity, trie_bpe
+from tallyloom.llm import decontaminate, secret_scan, substring_dedup, toxicity, trie_bpe
 from tallyloom.llm.common import held_out
 from tallyloom.sources.tables import table
 
@@ -48,6 +48,13 @@ def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Words of every document that repeat passages of earlier documents."""
+    found = substring_dedup.duplicate_spans(table(spark, d, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
+
+
 @query
 def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
     """Benchmark passages in every document."""

@@ -29,7 +29,7 @@ from tallyloom.session import ship_by_value
 ship_by_value(__name__)
 
 #: White space as the pre-tokenizer knows it (fixed values).
-SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: How the pre-tokenizer cuts text (fixed values of the published byte-level scheme).
 PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
