@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, secret_scan, substring_dedup, toxicity, trie_bpe
+from tallyloom.llm import decontaminate, secret_scan, signature_join, substring_dedup, toxicity, trie_bpe
 from tallyloom.llm.common import held_out
 from tallyloom.sources.tables import table
 
@@ -81,3 +81,10 @@ def op8_bpe(spark: SparkSession, d: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         sha256_of(F.col("decoded")).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_signature_join(spark: SparkSession, d: str) -> DataFrame:
+    """Groups of documents whose 4-word shingle sets share 85 per cent of their union."""
+    linked = signature_join.linked_documents(table(spark, d, "documents"), size=4, percent=85)
+    return linked.select("doc_id", "n_shingles", "component_id")
