@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, secret_scan, signature_join, substring_dedup, toxicity, trie_bpe
+from tallyloom.llm import (
+    decontaminate,
+    secret_scan,
+    signature_join,
+    substring_dedup,
+    token_files,
+    toxicity,
+    trie_bpe,
+)
 from tallyloom.llm.common import held_out
 from tallyloom.sources.tables import table
 
@@ -48,6 +56,13 @@ def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op5_token_files(spark: SparkSession, d: str) -> DataFrame:
+    """Token files of all documents, read back document by document."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.read_documents(spark, token_files.write_tokens(table(spark, d, "documents"), path, end_id=2))
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Words of every document that repeat passages of earlier documents."""
