@@ -31,8 +31,8 @@ ship_by_value(__name__)
 
 WINDOW = 13
 #: Groups of documents and blocks of phrases for each shuffle partition.
-GROUPS_PER_PARTITION = 4
-BLOCKS_PER_PARTITION = 3
+GROUPS_PER_PARTITION = 2
+BLOCKS_PER_PARTITION = 1
 
 ASKED = "part long, block int, n int, ids binary, counts binary, phrases binary"
 SPANS = "array<struct<start:int,length:int>>"
