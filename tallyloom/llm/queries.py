@@ -16,6 +16,7 @@ from tallyloom.llm import (
     token_files,
     toxicity,
     trie_bpe,
+    url_filter,
 )
 from tallyloom.llm.common import held_out
 from tallyloom.sources.tables import table
@@ -42,6 +43,13 @@ def op2_secrets(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op3_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Verdict on every page's URL, by rule or by the character models."""
+    judged = url_filter.url_verdicts(table(spark, d, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
     """Toxicity score of every document by a model fitted on labelled rows."""

@@ -3,3 +3,90 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+# CRC-32 by its definition, a bit at a time over the bytes of the text.
+_CRC = """list_reduce(
+    [4294967295::BIGINT] || list_transform(range(octet_length(encode({x}))),
+        lambda i: CAST(('0x' || substr(hex(encode({x})), 2 * i + 1, 2)) AS BIGINT)),
+    lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))"""
+
+
+def crc32_of(x: str) -> str:
+    """SQL for the unsigned CRC-32 of a text expression."""
+    return f"xor({_CRC.format(x=x)}, 4294967295)"
+
+
+def _url_filter() -> str:
+    orders = []
+    for k in range(4):
+        before = f"left(right(gram, {k + 1}), {k})"
+        sides = {}
+        for side in ("good", "bad"):
+            total = f"coalesce(t.{side}, 0)" if k else f"(SELECT coalesce(sum({side}), 0) FROM counted)"
+            sides[side] = (
+                f"CASE WHEN length(p.gram) > {k} THEN (coalesce(h.{side}, 0) + 2.0 * p.p_{side})"
+                f" / ({total} + 2.0) ELSE p.p_{side} END AS p_{side}"
+            )
+        around = (
+            f"LEFT JOIN (SELECT {before} AS before, sum(good) AS good, sum(bad) AS bad FROM counted"
+            f" WHERE length(gram) > {k} GROUP BY 1) t ON t.before = left(right(p.gram, {k + 1}), {k})"
+            if k
+            else ""
+        )
+        orders.append(
+            f"p{k} AS (SELECT p.gram, {sides['good']}, {sides['bad']} FROM p{k - 1 if k else 'x'} p LEFT JOIN"
+            f" (SELECT right(gram, {k + 1}) AS own, sum(good) AS good, sum(bad) AS bad FROM counted"
+            f" WHERE length(gram) > {k} GROUP BY 1) h ON h.own = right(p.gram, {k + 1}) {around})"
+        )
+    return f"""
+WITH parsed AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE
+      WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+      WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+      WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule,
+    translate(host || path, '123456789', '000000000') AS shape
+  FROM parsed),
+judged AS (
+  SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END
+    AS decided FROM ruled),
+shapes AS (SELECT shape, decided, {crc32_of('shape')} % 5 = 0 AS out FROM (SELECT DISTINCT shape, decided FROM judged)),
+grams AS (
+  SELECT shape, decided, out, substr('^' || shape || '$', greatest(1, i - 3)::INT, least(i, 4)::INT) AS gram
+  FROM (SELECT *, unnest(range(2, length(shape) + 3)) AS i FROM shapes)),
+counted AS (
+  SELECT gram, coalesce(sum((decided = 'allow' AND NOT out)::INT), 0) AS good,
+    coalesce(sum((decided = 'block' AND NOT out)::INT), 0) AS bad
+  FROM grams GROUP BY gram),
+px AS (SELECT gram, 1.0::DOUBLE / 128 AS p_good, 1.0::DOUBLE / 128 AS p_bad FROM counted),
+{', '.join(orders)},
+scored AS (
+  SELECT shape, decided, any_value(out) AS out, avg(ln(p_good) - ln(p_bad)) AS score
+  FROM grams JOIN p3 USING (gram) GROUP BY shape, decided),
+steps AS (
+  SELECT least(greatest(round(score * 100), -1000), 1000)::BIGINT AS step,
+    sum((decided = 'allow')::INT) AS good, sum((decided = 'block')::INT) AS bad
+  FROM scored WHERE decided IS NOT NULL AND out GROUP BY 1),
+sums AS (
+  SELECT step, sum(good) OVER () AS all_good, sum(bad) OVER () AS all_bad,
+    sum(good) OVER (ORDER BY step) AS lost, sum(bad) OVER (ORDER BY step) AS spared FROM steps),
+gains AS (
+  SELECT step + 1 AS cut, round(spared / all_bad + 1 - lost / all_good, 9) AS gain FROM sums
+  WHERE all_good > 0 AND all_bad > 0
+  UNION ALL SELECT min(step), 1.0 FROM sums HAVING min(all_good) > 0 AND min(all_bad) > 0),
+chosen AS (SELECT coalesce((SELECT (cut - 0.5) / 100 FROM gains ORDER BY gain DESC, cut LIMIT 1), 0.0) AS cut)
+SELECT j.page_id, j.host, j.path, j.rule,
+  coalesce(j.decided, CASE WHEN s.score >= (SELECT cut FROM chosen) THEN 'allow' ELSE 'block' END) AS verdict
+FROM judged j LEFT JOIN scored s ON s.shape = j.shape AND s.decided IS NULL AND j.decided IS NULL
+"""
+
+
+ORACLES["op3_url_filter"] = _url_filter()
