@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import (
     decontaminate,
+    quality_rules,
     secret_scan,
     signature_join,
     substring_dedup,
@@ -106,6 +107,14 @@ def op8_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def op9_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and verdict of the quality rules on every document."""
+    judged = quality_rules.quality_verdicts(table(spark, d, "documents"), table(spark, d, "labels"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
 @query
 def op10_signature_join(spark: SparkSession, d: str) -> DataFrame:
     """Groups of documents whose 4-word shingle sets share 85 per cent of their union."""

@@ -90,3 +90,64 @@ FROM judged j LEFT JOIN scored s ON s.shape = j.shape AND s.decided IS NULL AND
 
 
 ORACLES["op3_url_filter"] = _url_filter()
+
+
+def _quality_rules() -> str:
+    from tallyloom.llm.quality_rules import LEVEL, RATE, RULES, STRATA
+
+    rate = RATE / len(RULES)
+    level = LEVEL / (len(STRATA) * sum(map(len, RULES.values())))
+    stratum = " ".join(f"WHEN n_words >= {low} THEN {k}" for k, low in reversed(list(enumerate(STRATA))))
+    cells = " UNION ALL ".join(
+        f"SELECT stratum, '{rule}' AS rule, {c} AS cutoff, count(*) AS n, sum(({rule} > {c})::INT) AS rejected"
+        f" FROM holdout GROUP BY stratum"
+        for rule, cutoffs in RULES.items()
+        for c in cutoffs
+    )
+    rejects = " OR ".join(f"(c.rule = '{rule}' AND m.{rule} > c.cutoff)" for rule in RULES)
+    return f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ \\t-\\r]')) AS lines
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS times
+  FROM (SELECT doc_id, i, words[i:i + 4] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM docs))),
+repeats AS (
+  SELECT doc_id, sum(covers) AS n FROM (
+    SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS covers
+    FROM windows WHERE times > 1) GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(length(array_to_string(words, '')), 0) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_capitals, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+  FROM docs LEFT JOIN repeats r USING (doc_id)),
+measured AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    CASE {stratum} END AS stratum,
+    CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS symbols,
+    CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS dup_lines,
+    CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS repeats,
+    CASE WHEN n_words > 0 THEN word_chars * 10 // n_words ELSE 0 END AS word_length,
+    CASE WHEN word_chars > 0 THEN n_capitals * 1000 // word_chars ELSE 0 END AS capitals
+  FROM counts),
+good AS (
+  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND {crc32_of('doc_id::VARCHAR')} % 5 <> 0
+  GROUP BY doc_id HAVING min(quality) = 1),
+holdout AS (SELECT * FROM measured WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+tests AS ({cells}),
+cutoffs AS (
+  SELECT stratum, rule, min(cutoff) AS cutoff FROM tests
+  WHERE rejected < n * {rate} AND list_sum(list_transform(range(0, rejected::BIGINT + 1), lambda i:
+    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) <= {level}
+  GROUP BY stratum, rule)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT EXISTS (SELECT 1 FROM cutoffs c WHERE c.stratum = m.stratum AND ({rejects})) AS kept
+FROM measured m
+"""
+
+
+ORACLES["op9_quality_rules"] = _quality_rules()
