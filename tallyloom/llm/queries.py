@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import (
     decontaminate,
+    pu_quality,
     quality_rules,
     secret_scan,
     signature_join,
@@ -35,6 +36,18 @@ def sha256_of(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+@query
+def op1_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality score of every document by a model of positives and unlabelled text."""
+    scored = pu_quality.quality_scores(table(spark, d, "documents"), table(spark, d, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op2_secrets(spark: SparkSession, d: str) -> DataFrame:
     """Secrets in every document, with the digest of the base kinds' spans."""

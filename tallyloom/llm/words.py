@@ -82,14 +82,14 @@ class Words:
     def __init__(self, texts: pa.Array, marks: np.ndarray, lower: bool = False):
         raw, ends = text_bytes(texts)
         self.rows = len(ends)
-        # one separator after each text keeps words of neighbours apart; eight spare bytes for lanes
-        padded = np.full(len(raw) + self.rows + 8 * _LANES + 8, 0x20, np.uint8)
+        # one separator after each text keeps words of neighbours apart; spare bytes for lanes
+        separator = int(np.flatnonzero(~marks)[0])
+        padded = np.full(len(raw) + self.rows + 8 * _LANES + 8, separator, np.uint8)
         if self.rows:
-            sizes = np.diff(ends, prepend=0)
             keep = np.ones(len(raw) + self.rows, bool)
             keep[ends + np.arange(self.rows)] = False
             padded[: len(keep)][keep] = raw
-            del keep, sizes
+            del keep
         if lower:
             fold = np.arange(256, dtype=np.uint8)
             fold[0x41:0x5B] += 0x20
