@@ -175,27 +175,35 @@ def _meet(table: pa.Table) -> pa.Table:
 class _Tree:
     """A node of the signature tree over some sets."""
 
-    __slots__ = ("children", "members", "bits", "low", "high", "least", "one")
+    __slots__ = ("children", "members", "bits", "low", "high", "most", "one")
 
-    def __init__(self, members: list[int], children: list[_Tree], bits: int, low: int, high: int, least: int):
+    def __init__(self, members: list[int], children: list[_Tree], bits: int, low: int, high: int, most: int):
         self.members, self.children, self.bits = members, children, bits
-        self.low, self.high, self.least, self.one = low, high, least, False
+        self.low, self.high, self.most, self.one = low, high, most, False
 
 
 class SignatureTree:
-    """Finds which of the given sets (sorted hash arrays) hang together by links."""
+    """Finds which of the given distinct sets (sorted hash arrays) hang together by links.
+
+    A set's bitmap has a bit for each shingle that another of the sets has as well, so two sets
+    share as many shingles as their bitmaps share bits.
+    """
 
     def __init__(self, sets: list[np.ndarray], percent: int):
-        self.sets, self.percent = sets, percent
+        self.percent = percent
         self.parent = list(range(len(sets)))
-        self.compared = 0
-        width = 1 << min(16, max(9, int(4 * max(map(len, sets))).bit_length()))
+        self.sizes = [len(s) for s in sets]
+        every = np.sort(np.concatenate(sets))
+        again = np.flatnonzero(every[1:] == every[:-1])
+        shared = every[again[np.flatnonzero(np.concatenate([[True], np.diff(again) > 1]))]] if len(again) else every[:0]
         self.bits = []
         for s in sets:
-            marks = np.zeros(width, bool)
-            marks[(s % np.uint64(width)).astype(np.int64)] = True
+            marks = np.zeros(len(shared), bool)
+            if len(shared):
+                at = np.minimum(np.searchsorted(shared, s), len(shared) - 1)
+                marks[at[shared[at] == s]] = True
             self.bits.append(int.from_bytes(np.packbits(marks).tobytes(), "big"))
-        order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), len(sets[i]), i))
+        order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), self.sizes[i], i))
         level = [self._leaf(order[i : i + LEAF]) for i in range(0, len(order), LEAF)]
         while len(level) > 1:
             level = [self._over(level[i : i + LEAF]) for i in range(0, len(level), LEAF)]
@@ -205,15 +213,15 @@ class SignatureTree:
         bits = 0
         for i in members:
             bits |= self.bits[i]
-        sizes = [len(self.sets[i]) for i in members]
-        return _Tree(members, [], bits, min(sizes), max(sizes), min(self.bits[i].bit_count() for i in members))
+        sizes = [self.sizes[i] for i in members]
+        return _Tree(members, [], bits, min(sizes), max(sizes), max(self.bits[i].bit_count() for i in members))
 
     def _over(self, children: list[_Tree]) -> _Tree:
         bits = 0
         for c in children:
             bits |= c.bits
         low, high = min(c.low for c in children), max(c.high for c in children)
-        return _Tree([], children, bits, low, high, min(c.least for c in children))
+        return _Tree([], children, bits, low, high, max(c.most for c in children))
 
     def find(self, i: int) -> int:
         while self.parent[i] != i:
@@ -234,35 +242,19 @@ class SignatureTree:
         return first
 
     def _hopeless(self, x: _Tree, y: _Tree) -> bool:
-        """Whether no set below x can link to one below y.
-
-        The bits of a set that lie outside the other node's bitmap stand for as many shingles, at
-        least, that can't be shared.
-        """
+        """Whether no set below x can link to one below y: the sizes or bitmaps rule it out."""
         p = self.percent
         if 100 * x.high < p * y.low or 100 * y.high < p * x.low:
             return True
-        shared = (x.bits & y.bits).bit_count()
-        most = min(x.high - max(0, x.least - shared), y.high - max(0, y.least - shared))
+        most = min(x.most, y.most, (x.bits & y.bits).bit_count())
         return most * (100 + p) < p * (x.low + y.low)
 
     def _link(self, i: int, j: int) -> None:
-        a, b = self.find(i), self.find(j)
-        if a == b:
-            return
-        x, y, p = self.sets[i], self.sets[j], self.percent
-        small, large = min(len(x), len(y)), max(len(x), len(y))
-        if 100 * small < p * large:
-            return
-        shared = (self.bits[i] & self.bits[j]).bit_count()
-        most = min(len(x) - self.bits[i].bit_count() + shared, len(y) - self.bits[j].bit_count() + shared)
-        if most * (100 + p) < p * (len(x) + len(y)):
-            return
-        self.compared += 1
-        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-        both = int((y[at] == x).sum())
-        if 100 * both >= p * (len(x) + len(y) - both):
-            self.parent[max(a, b)] = min(a, b)
+        both = (self.bits[i] & self.bits[j]).bit_count()
+        if both * (100 + self.percent) >= self.percent * (self.sizes[i] + self.sizes[j]):
+            a, b = self.find(i), self.find(j)
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
 
     def roots(self) -> list[int]:
         """The smallest place of each set's component."""
