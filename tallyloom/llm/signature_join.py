@@ -278,7 +278,7 @@ class SignatureTree:
                 for k, i in enumerate(x.members):
                     for j in x.members[k + 1 :] if own else y.members:
                         self._link(i, j)
-        return [self.find(i) for i in range(len(self.sets))]
+        return [self.find(i) for i in range(len(self.sizes))]
 
 
 def _join_pack(size: int, percent: int):
