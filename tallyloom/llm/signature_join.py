@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.common import doc_text, partitions
 from tallyloom.llm.connected import components, local_components
@@ -393,3 +394,45 @@ def linked_documents(docs: DataFrame, size: int = 4, percent: int = 85, chunk: i
         .withColumn("component_id", F.when(joining, F.col("component_id")).otherwise(F.col("doc_id")))
         .select("doc_id", "n_shingles", "component_id", "node")
     )
+
+
+def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, chunk: int = CHUNK) -> DataFrame:
+    """The documents, with all their columns, that are the first of their component.
+
+    First is the smallest id, and of rows with that id the one of the smallest set number; rows
+    that repeat id and text count once. Rows without id, and rows without words, all stay.
+    """
+    sets = stored(shingle_sets(docs, size), "sets")
+    linked = components(_links(docs, sets, size, percent, chunk), "linked")
+    nodes = (
+        sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+        .groupBy("node")
+        .agg(F.min("doc_id").alias("keep_id"))
+    )
+    nodes = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    firsts = nodes.groupBy("component").agg(F.min(F.struct("keep_id", F.col("node").alias("keep_node"))).alias("first"))
+    firsts = firsts.select("first.*")
+    numbered = docs.mapInArrow(_numbered(size), T.StructType([*docs.schema.fields, T.StructField(_NODE, T.LongType())]))
+    free = numbered.filter(F.col(_NODE).isNull())
+    named = numbered.filter(F.col(_NODE).isNotNull())
+    kept = named.join(
+        firsts, (named["doc_id"].cast("long") == firsts["keep_id"]) & (named[_NODE] == firsts["keep_node"])
+    ).drop("keep_id", "keep_node")
+    return kept.dropDuplicates(["doc_id", _NODE]).unionByName(free).drop(_NODE)
+
+
+_NODE = "_set_node"
+
+
+def _numbered(size: int):
+    """Adds each row's set number; null where the row has no id or no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch):
+                sets = ShingleSets(part.column("text"), size)
+                known = (sets.sizes > 0) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+                node = pa.array(sets.nodes, mask=~known)
+                yield pa.RecordBatch.from_arrays([*part.columns, node], [*part.schema.names, _NODE])
+
+    return run
