@@ -13,9 +13,18 @@ NUMBER_PATTERN = r"^\d+(\.\d+)?$"
 LOOSE_NUMBER_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 
 
+# Fixed value: white space at the ends of a text.
+WHITE_SPACE = " \t\n\r\x0b\x0c"
+
+
+def trimmed(col: Column) -> Column:
+    """Without white space of any kind at the ends; NULL stays NULL."""
+    return F.btrim(col, F.lit(WHITE_SPACE))
+
+
 def to_number(col: Column) -> Column:
     """Text or number to double; blanks and anything unparsable become NULL, never NaN."""
-    text = F.trim(col.cast("string"))
+    text = trimmed(col.cast("string"))
     return F.when(text.rlike(LOOSE_NUMBER_PATTERN), text.try_cast("double"))
 
 
@@ -29,7 +38,7 @@ def trim_strings(df: DataFrame) -> DataFrame:
     """Trim every string column in one projection; NULL stays NULL."""
     return df.select(
         *[
-            F.trim(F.col(f"`{f.name}`")).alias(f.name)
+            trimmed(F.col(f"`{f.name}`")).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields

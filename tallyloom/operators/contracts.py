@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import NUMBER_PATTERN, to_integer, to_number
+from tallyloom.functions.text import NUMBER_PATTERN, to_integer, to_number, trimmed
 from tallyloom.spec import TabularSpec
 
 Predicate = Callable[[Column], Column]
@@ -67,7 +67,7 @@ def number_or_blank(column: str) -> Rule:
     return Rule(
         "number_or_blank",
         column,
-        lambda c: (F.trim(c) == "") | F.trim(c).rlike(NUMBER_PATTERN),
+        lambda c: (trimmed(c) == "") | trimmed(c).rlike(NUMBER_PATTERN),
     )
 
 
@@ -103,8 +103,12 @@ def _zero_or_one(c: Column) -> Column:
     return to_number(c).isin(0.0, 1.0)
 
 
-def scoring_contract(spec: TabularSpec) -> list[Rule]:
-    """Model inputs: categories must be present but may be new, bounds are wide."""
+def scoring_contract(spec: TabularSpec, refuse_text: bool = False) -> list[Rule]:
+    """Model inputs: categories must be present but may be new, bounds are wide.
+
+    Numbers kept as text are coerced first: what is blank or no number is missing, which the
+    model imputes, unless ``refuse_text`` makes it a violation.
+    """
     rules: list[Rule] = []
     for c in spec.flags:
         rules += [not_null(c), coercible_integer(c), Rule("one_of", c, _zero_or_one)]
@@ -113,7 +117,8 @@ def scoring_contract(spec: TabularSpec) -> list[Rule]:
     for c in spec.float_numeric:
         rules += [not_null(c), coercible_number(c), in_range(c, *spec.scoring_bounds[c])]
     for c in spec.text_numeric:
-        rules += [coercible_number(c), in_range(c, *spec.scoring_bounds[c])]
+        rules += [coercible_number(c)] if refuse_text else []
+        rules.append(in_range(c, *spec.scoring_bounds[c]))
     rules += [not_null(c) for c in spec.categorical]
     return rules
 
@@ -121,7 +126,7 @@ def scoring_contract(spec: TabularSpec) -> list[Rule]:
 def request_contract(spec: TabularSpec, id_col: str = "customer_id") -> list[Rule]:
     """Edge contract: closed domains, wide bounds, short ids."""
     return [
-        *scoring_contract(spec),
+        *scoring_contract(spec, refuse_text=True),
         *[one_of(c, spec.domains[c]) for c in spec.categorical],
         max_length(id_col, MAX_ID_LENGTH),
     ]

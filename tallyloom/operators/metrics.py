@@ -75,8 +75,8 @@ def rates_from_counts(df: DataFrame) -> DataFrame:
 def confusion_metrics(
     df: DataFrame, y: str, p: str, threshold: float, group_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Confusion counts and the rates on them, one aggregate."""
-    counts = df.groupBy(*group_cols).agg(
+    """Confusion counts and the rates on them, one aggregate over the rows with label and score."""
+    counts = with_score(df, y, p).groupBy(*group_cols).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.col(y).cast("double")).alias("positive_rate"),
         *confusion_aggregates(y, p, threshold),
@@ -84,13 +84,18 @@ def confusion_metrics(
     return rates_from_counts(counts)
 
 
+def with_score(df: DataFrame, y: str, p: str) -> DataFrame:
+    """The rows that metrics count: label and score are there, and the score is a number."""
+    return df.filter(present(F.col(p)) & F.col(y).isNotNull())
+
+
 def _brier_expr(y: str, p: str) -> Column:
     gap = F.col(p) - F.col(y)
     return F.avg(gap * gap)
 
 
 def brier(df: DataFrame, y: str, p: str) -> DataFrame:
-    return df.agg(_brier_expr(y, p).alias("brier"))
+    return with_score(df, y, p).agg(_brier_expr(y, p).alias("brier"))
 
 
 def ranked_counts(
@@ -99,7 +104,7 @@ def ranked_counts(
     """One row per distinct score: pos, neg and tp, fp of the rule ``score >= this one``."""
     edges = quantile_edges(df, [p], n_buckets)
     counts = (
-        add_buckets(df.select(y, p).filter(present(F.col(p)) & F.col(y).isNotNull()), edges)
+        add_buckets(with_score(df.select(y, p), y, p), edges)
         .groupBy(F.col(f"{p}__bucket").alias("bucket"), F.col(p).alias("score"))
         .agg(
             _count_if(F.col(y) == 1).cast("bigint").alias("pos"),

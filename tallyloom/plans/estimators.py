@@ -18,10 +18,6 @@ from pyspark.sql import functions as F
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
 
 
-class EstimatorUnavailableError(RuntimeError):
-    """A candidate cannot be built here; the comparison skips it."""
-
-
 # Search ranges per candidate (kind, low, high[, step]) or choices, trials.
 SEARCH_SPACES: dict[str, dict[str, tuple]] = {
     "logreg": {"C": ("log", 1e-3, 1e2), "max_iter": ("choice", 2000)},
@@ -148,32 +144,33 @@ ESTIMATORS = {
 }
 
 
-def register_estimator(name: str, build, space: dict[str, tuple]) -> None:
+def register_estimator(name: str, build, space: dict[str, tuple], trials: int = 20) -> None:
     """Add a candidate: ``build(params, facts)`` gives an MLlib classifier."""
     ESTIMATORS[name] = build
     SEARCH_SPACES[name] = space
+    TRIALS[name] = trials
 
 
 def build_estimator(name: str, params: dict[str, Any], facts: TrainingFacts):
-    """Candidate with its columns set. Unknown names and failed builds are errors."""
+    """Candidate with its columns set; an unknown name is an error."""
     if name not in ESTIMATORS:
         raise ValueError(f"unknown estimator: {name}")
-    try:
-        est = ESTIMATORS[name](params, facts)
-    except ImportError as exc:
-        raise EstimatorUnavailableError(name) from exc
+    est = ESTIMATORS[name](params, facts)
     return est.setFeaturesCol(FEATURES).setLabelCol(LABEL).setWeightCol(WEIGHT)
 
 
-def draw_params(name: str, n: int, seed: int, caps: dict[str, Any] | None = None) -> list[dict]:
-    """Seeded random draws from the search space; ``caps`` bounds sizes for quick runs."""
-    if name not in SEARCH_SPACES:
+def draw_params(
+    name: str, n: int, seed: int, space: dict[str, tuple] | None = None
+) -> list[dict[str, Any]]:
+    """Seeded random draws from a search space, by default the candidate's own, used unchanged."""
+    space = SEARCH_SPACES.get(name) if space is None else space
+    if space is None:
         raise ValueError(f"no search space for {name}")
     rng = random.Random(f"{seed}:{name}")
     draws = []
     for _ in range(n):
         one: dict[str, Any] = {"random_state": seed}
-        for key, (kind, *args) in SEARCH_SPACES[name].items():
+        for key, (kind, *args) in space.items():
             if kind == "choice":
                 one[key] = rng.choice(args)
             elif kind == "int":
@@ -182,8 +179,5 @@ def draw_params(name: str, n: int, seed: int, caps: dict[str, Any] | None = None
                 one[key] = math.exp(rng.uniform(math.log(args[0]), math.log(args[1])))
             else:
                 one[key] = rng.uniform(*args)
-        for key, cap in (caps or {}).items():
-            if key in one:
-                one[key] = cap if one[key] is None else min(one[key], cap)
         draws.append(one)
     return draws

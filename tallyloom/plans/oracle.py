@@ -176,13 +176,13 @@ def _boxes(pairs: list[tuple[str, str]], group: str) -> str:
         )""",
         body="""
         SELECT f."column", f."group", f.n,
-               round(mn + 3.3e-10::DOUBLE, 6) AS min,
-               round(q1 + 3.3e-10::DOUBLE, 6) AS q1,
-               round(md + 3.3e-10::DOUBLE, 6) AS median,
-               round(q3 + 3.3e-10::DOUBLE, 6) AS q3,
-               round(mx + 3.3e-10::DOUBLE, 6) AS max,
-               round(lf + 3.3e-10::DOUBLE, 6) AS low_fence,
-               round(hf + 3.3e-10::DOUBLE, 6) AS high_fence,
+               round(mn, 4) AS min,
+               round(q1, 4) AS q1,
+               round(md, 4) AS median,
+               round(q3, 4) AS q3,
+               round(mx, 4) AS max,
+               round(lf, 4) AS low_fence,
+               round(hf, 4) AS high_fence,
                count(*) FILTER (s.x < lf OR s.x > hf) AS n_outliers
         FROM fence f JOIN series s ON s."column" = f."column" AND s."group" = f."group"
         GROUP BY ALL""",
@@ -523,9 +523,6 @@ ORACLES: dict[str, str] = {
                CASE WHEN tenure NOT BETWEEN 0 AND 120 THEN 'tenure: in_range' END,
                CASE WHEN monthly_charges NOT BETWEEN 0 AND 10000000
                  THEN 'monthly_charges: in_range' END,
-               CASE WHEN trim(total_charges) = '' THEN 'total_charges: coercible'
-                    WHEN TRY_CAST(total_charges AS DOUBLE) IS NULL
-                      THEN 'total_charges: coercible' END,
                CASE WHEN last_priority IS NULL THEN 'last_priority: not_null' END) AS error
              FROM twice)""",
         _BAD,
@@ -808,7 +805,7 @@ ORACLES: dict[str, str] = {
         group="day",
     ),
     "drift_recent_records": _drift(
-        """SELECT 500 AS n_records, (SELECT count(*) FROM result) AS features_checked,
+        """SELECT CAST(least(500, (SELECT count(*) FROM events)) AS BIGINT) AS n_records, (SELECT count(*) FROM result) AS features_checked,
            (SELECT max(psi4) FROM result) AS worst_psi,
            (SELECT count(*) FILTER (status = 'alert') FROM result) AS n_alert,
            feature, psi4 AS psi, status FROM result""",

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -29,7 +31,6 @@ from tallyloom.plans.estimators import (
     SIMPLICITY,
     TRIALS,
     WEIGHT,
-    EstimatorUnavailableError,
     build_estimator,
     draw_params,
     row_weight,
@@ -53,16 +54,21 @@ GATE_F1, GATE_AUC = 0.52, 0.80
 STABLE_BAND = 0.005
 
 
-@dataclass
-class CandidateResult:
+@dataclass(frozen=True)
+class Tuned:
+    """A candidate's trials, each with its parameters and fold scores, and the seconds they took."""
+
     name: str
-    params: dict[str, Any]
-    cv_f1: float
-    fold_std: float
-    band_std: float
-    n_trials: int
+    trials: tuple[tuple[dict[str, Any], tuple[float, ...]], ...]
     seconds: float
-    trial_scores: list[float] = field(default_factory=list)
+
+    @property
+    def best(self) -> tuple[dict[str, Any], tuple[float, ...]]:
+        return max(self.trials, key=lambda t: _mean(t[1]))
+
+    @property
+    def cv_f1(self) -> float:
+        return _mean(self.best[1])
 
 
 def placed(df: DataFrame, key: str) -> DataFrame:
@@ -111,48 +117,27 @@ def release(pairs: list[tuple[DataFrame, DataFrame]]) -> None:
             df.unpersist()
 
 
-def fold_f1(pairs, name: str, params: dict[str, Any], key: str) -> list[float]:
-    """F1 at threshold 0.5 per fold: one evaluation job for all folds."""
-    scored = None
-    for i, (train, held) in enumerate(pairs):
-        facts = training_facts(train)
-        model = build_estimator(name, params, facts).fit(
-            train.withColumn(WEIGHT, row_weight(name, facts))
-        )
-        part = _scored(model, held, key).withColumn("fold", F.lit(i))
-        scored = part if scored is None else scored.unionByName(part)
-    rows = confusion_metrics(scored, LABEL, "p", 0.5, ["fold"]).select("fold", "f1").collect()
-    return [r["f1"] for r in sorted(rows, key=lambda r: r["fold"])]
+def _mean(values: Sequence[float]) -> float:
+    return sum(values) / len(values)
 
 
 def _std(values: Sequence[float]) -> float:
-    if not values:
-        return 0.0
-    mean = sum(values) / len(values)
+    mean = _mean(values)
     return (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
 
 
-def tune_candidate(
-    pairs, name: str, key: str, seed: int, n_trials: int | None = None, caps: dict | None = None
-) -> CandidateResult:
-    """Random search over the candidate's space; the score is the mean of the fold F1s."""
-    started = time.perf_counter()
-    trials = []
-    for params in draw_params(name, n_trials or TRIALS[name], seed, caps):
-        folds = fold_f1(pairs, name, params, key)
-        trials.append((sum(folds) / len(folds), _std(folds), params))
-    best, fold_std, params = max(trials, key=lambda t: t[0])
-    scores = [t[0] for t in trials]
-    return CandidateResult(
-        name,
-        params,
-        best,
-        fold_std,
-        _std([v for v in scores if v >= best - STABLE_BAND]),
-        len(trials),
-        time.perf_counter() - started,
-        scores,
-    )
+def _fold_scores(pair, fold: int, facts, name: str, params: dict[str, Any], key: str) -> DataFrame:
+    train, held = pair
+    weighted = train.withColumn(WEIGHT, row_weight(name, facts))
+    model = build_estimator(name, params, facts).fit(weighted)
+    return _scored(model, held, key).withColumn("fold", F.lit(fold))
+
+
+def _fold_f1(parts: Sequence[DataFrame]) -> tuple[float, ...]:
+    """F1 at threshold 0.5 per fold: one evaluation job for all folds of a trial."""
+    scored = reduce(DataFrame.unionByName, parts)
+    rows = confusion_metrics(scored, LABEL, "p", 0.5, ["fold"]).select("fold", "f1").collect()
+    return tuple(r["f1"] for r in sorted(rows, key=lambda r: r["fold"]))
 
 
 def compare_candidates(
@@ -162,49 +147,73 @@ def compare_candidates(
     seed: int = 42,
     candidates: Sequence[str] = CANDIDATES,
     n_trials: int | None = None,
-    caps: dict | None = None,
-) -> list[CandidateResult]:
-    """Tune every available candidate on the same folds."""
+    spaces: dict[str, dict[str, tuple]] | None = None,
+    parallelism: int = 4,
+) -> list[Tuned]:
+    """Tune every candidate on the same folds by random search.
+
+    ``spaces`` replaces the search spaces of the candidates it names; draws are used as they are.
+    The fits of all trials and folds run from a pool of ``parallelism`` threads, so a cluster
+    stays busy while a boosting fit does its many small jobs; class counts are taken once a fold.
+    """
     key = spec_by_name(spec_name).id_col
     folded = kfold(prepared, key, LABEL, k, seed).persist()
     pairs = fold_pairs(folded, spec_name, k)
     results = []
     try:
-        for name in candidates:
-            try:
-                results.append(tune_candidate(pairs, name, key, seed, n_trials, caps))
-            except EstimatorUnavailableError:
-                continue
+        facts = [training_facts(train) for train, _ in pairs]
+        with ThreadPoolExecutor(parallelism) as pool:
+            started = time.perf_counter()
+            waiting = []
+            for name in candidates:
+                draws = draw_params(name, n_trials or TRIALS[name], seed, (spaces or {}).get(name))
+                for params in draws:
+                    fits = [
+                        pool.submit(_fold_scores, pairs[i], i, facts[i], name, params, key)
+                        for i in range(k)
+                    ]
+                    waiting.append((name, params, fits))
+            for name in candidates:
+                own = [
+                    (params, _fold_f1([fit.result() for fit in fits]))
+                    for n, params, fits in waiting
+                    if n == name
+                ]
+                results.append(Tuned(name, tuple(own), time.perf_counter() - started))
     finally:
         release(pairs)
         folded.unpersist()
-    if not results:
-        raise RuntimeError("no candidate could be trained")
     return results
 
 
-def comparison_table(spark: SparkSession, results: Sequence[CandidateResult]) -> DataFrame:
+def comparison_table(spark: SparkSession, results: Sequence[Tuned]) -> DataFrame:
+    """One row per candidate, best first: its best trial's mean and spread over the folds, and
+    the spread of the trials that come close to it."""
+    rows = []
+    for r in sorted(results, key=lambda r: -r.cv_f1):
+        close = [m for m in (_mean(f) for _, f in r.trials) if m >= r.cv_f1 - STABLE_BAND]
+        rows.append((r.name, r.cv_f1, _std(r.best[1]), _std(close), len(r.trials), r.seconds))
     return small_table(
         spark,
-        [
-            (r.name, r.cv_f1, r.fold_std, r.band_std, r.n_trials, r.seconds)
-            for r in sorted(results, key=lambda r: -r.cv_f1)
-        ],
+        rows,
         "candidate string, cv_f1 double, fold_std double, band_std double, "
         "n_trials int, seconds double",
     )
 
 
-def select_candidate(results: Sequence[CandidateResult]) -> CandidateResult:
-    """Best CV F1; going down the ranking, a simpler model near the current choice wins."""
-    simple = {name: i for i, name in enumerate(SIMPLICITY)}
-    ranked = sorted(results, key=lambda r: (-r.cv_f1, simple.get(r.name, 99)))
-    winner = ranked[0]
-    for r in ranked[1:]:
-        near = winner.cv_f1 - r.cv_f1 <= TIE_EPSILON
-        if near and simple.get(r.name, 99) < simple.get(winner.name, 99):
-            winner = r
-    return winner
+def _plainness(name: str) -> int:
+    """Place in the order of simplicity; candidates that are not listed come last."""
+    return SIMPLICITY.index(name) if name in SIMPLICITY else len(SIMPLICITY)
+
+
+def select_candidate(results: Sequence[Tuned]) -> Tuned:
+    """Best CV F1, where a plainer candidate close to the choice so far takes its place."""
+
+    def prefer(chosen: Tuned, other: Tuned) -> Tuned:
+        close = chosen.cv_f1 - other.cv_f1 <= TIE_EPSILON
+        return other if close and _plainness(other.name) < _plainness(chosen.name) else chosen
+
+    return reduce(prefer, sorted(results, key=lambda r: (-r.cv_f1, _plainness(r.name))))
 
 
 def out_of_fold(

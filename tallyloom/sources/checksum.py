@@ -35,13 +35,17 @@ def file_checksums(spark: SparkSession, folder: str, pattern: str = "*") -> Data
 
 
 def against_manifest(checksums: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Status per file of either side: match, mismatch, missing or unlisted."""
+    """Status per file of either side: match, mismatch, missing, unlisted or unread.
+
+    A file without digest (see above) is unread, and a pin that is NULL matches nothing.
+    """
     pins = manifest.select("file", F.col("sha256").alias("expected"), F.lit(1).alias("listed"))
     found = checksums.withColumn("found", F.lit(1))
     status = (
         F.when(F.col("found").isNull(), "missing")
         .when(F.col("listed").isNull(), "unlisted")
-        .when(F.col("sha256").eqNullSafe(F.col("expected")), "match")
+        .when(F.col("sha256").isNull(), "unread")
+        .when(F.col("sha256") == F.col("expected"), "match")
         .otherwise("mismatch")
     )
     return found.join(pins, "file", "full").select(
@@ -50,6 +54,6 @@ def against_manifest(checksums: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def require_match(checked: DataFrame) -> None:
-    bad = checked.filter(F.col("status").isin("mismatch", "missing"))
+    bad = checked.filter(F.col("status").isin("mismatch", "missing", "unread"))
     if not bad.isEmpty():
-        raise ChecksumError("a file is missing or differs from its pinned checksum")
+        raise ChecksumError("a file is missing, unread or differs from its pinned checksum")

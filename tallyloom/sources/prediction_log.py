@@ -66,11 +66,14 @@ def log_records(
     )
 
 
+def by_day(records: DataFrame) -> DataFrame:
+    """Adds the folder column of the log, the day of ``ts``; every writer partitions by it."""
+    return records.withColumn("day", F.substring("ts", 1, 10))
+
+
 def append_log(records: DataFrame, path: str) -> None:
     """Append as JSON lines under one folder per day, so a tail reads few files."""
-    records.withColumn("day", F.substring("ts", 1, 10)).write.mode("append").partitionBy(
-        "day"
-    ).json(path)
+    by_day(records).write.mode("append").partitionBy("day").json(path)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -23,7 +23,7 @@ def nested_report(report: DataFrame, summary: DataFrame, n_records: int) -> Data
     )
     both = summary.unionByName(per_feature, allowMissingColumns=True)
     merged = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
-    return merged.withColumn("n_records", F.lit(n_records))
+    return merged.withColumn("n_records", F.lit(n_records).cast("long"))
 
 
 def write_report(row: DataFrame, path: str) -> str:

@@ -9,7 +9,7 @@ from tallyloom.operators.contracts import request_contract
 from tallyloom.plans.preprocess import spec_by_name
 from tallyloom.plans.scoring import score_rows
 from tallyloom.plans.training import FinalModel
-from tallyloom.sources.prediction_log import log_records
+from tallyloom.sources.prediction_log import by_day, log_records
 from tallyloom.sources.requests import flatten_items, parse_batches
 
 
@@ -58,7 +58,9 @@ def start_score_log(
         scored, s.features, "customer_id", "churn_probability", "prediction", model_version
     )
     return (
-        records.writeStream.format("json")
+        by_day(records)
+        .writeStream.partitionBy("day")
+        .format("json")
         .option("path", log_path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -21,7 +21,7 @@ def test_valid_and_blank_total_pass(accounts):
     "override, expected",
     [
         ({"Churn": "Maybe"}, {("Churn", "one_of")}),
-        ({"MonthlyCharges": "-5"}, {("MonthlyCharges", "in_range")}),
+        ({"MonthlyCharges": "-0.5"}, {("MonthlyCharges", "in_range")}),
         ({"MonthlyCharges": "130"}, set()),
         ({"tenure": "73"}, {("tenure", "in_range")}),
         ({"tenure": "abc"}, {("tenure", "coercible")}),
@@ -56,11 +56,11 @@ def test_scoring_contract_takes_new_categories_and_wide_bounds(accounts):
 @pytest.mark.parametrize(
     "override",
     [
-        {"tenure": "-1"},
-        {"MonthlyCharges": "-5"},
-        {"gender": "Other"},
-        {"Contract": "Lifetime"},
-        {"SeniorCitizen": "2"},
+        {"tenure": "-4"},
+        {"MonthlyCharges": "-0.5"},
+        {"gender": "Unknown"},
+        {"Contract": "Weekly"},
+        {"SeniorCitizen": "3"},
         {"tenure": None},
         {"customer_id": "x" * 65},
     ],

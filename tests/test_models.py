@@ -161,7 +161,7 @@ def test_registry_round_trip_pin_and_gate(spark, churners, final, tmp_path):
 
 
 def result(name, f1):
-    return T.CandidateResult(name, {}, f1, 0.0, 0.0, 1, 0.0)
+    return T.Tuned(name, (({}, (f1,)),), 0.0)
 
 
 @pytest.mark.parametrize(
@@ -184,8 +184,8 @@ def test_search_draws_are_seeded_and_in_range():
     assert draws == E.draw_params("random_forest", 30, 42)
     assert draws != E.draw_params("random_forest", 30, 43)
     assert all(200 <= d["n_estimators"] <= 700 and d["n_estimators"] % 50 == 0 for d in draws)
-    capped = E.draw_params("random_forest", 30, 42, {"max_depth": 5})
-    assert all(d["max_depth"] <= 5 for d in capped)
+    own = E.draw_params("random_forest", 30, 42, {"max_depth": ("int", 2, 5, 1)})
+    assert {d["max_depth"] for d in own} == {2, 3, 4, 5} and set(own[0]) == {"random_state", "max_depth"}
     with pytest.raises(ValueError):
         E.draw_params("nope", 1, 1)
     with pytest.raises(ValueError):
@@ -205,7 +205,7 @@ def test_comparison_and_out_of_fold(spark, churners):
     prepared = T.prepare(churners.filter("split = 'train'"), "TELCO")
     results = T.compare_candidates(
         prepared, "TELCO", k=2, candidates=("logreg", "hist_gb"), n_trials=1,
-        caps={"max_iter": 3, "max_leaf_nodes": 8},
+        spaces={"hist_gb": {"max_iter": ("choice", 3), "max_leaf_nodes": ("choice", 8)}},
     )
     table = T.comparison_table(spark, results).collect()
     assert {r["candidate"] for r in table} == {"logreg", "hist_gb"}
