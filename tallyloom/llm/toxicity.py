@@ -33,6 +33,8 @@ FEATURES = 3000
 #: An n-gram must occur in so many sampled texts.
 MIN_TEXTS = 8
 RIDGE = 1e-4
+#: Bytes of text whose n-grams are in memory at a time.
+STEP_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -67,7 +69,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """How many texts of each class hold each bucket, per task."""
     counts = np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
-        for part in steps(batch):
+        for part in steps(batch, limit=STEP_BYTES):
             rows, buckets = _present(part.column("text"))
             label = part.column("label").to_numpy(zero_copy_only=False)[rows]
             for c in (0, 1):
@@ -81,7 +83,7 @@ def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _presence_rows(wanted: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=STEP_BYTES):
                 rows, places = _present(part.column("text"), wanted)
                 cuts = np.searchsorted(rows, np.arange(part.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(places.astype(np.int32)))
@@ -186,7 +188,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
 def _scorer(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=STEP_BYTES):
                 rows, places = _present(part.column("text"), model.buckets)
                 sums = np.bincount(rows, model.weights[places], part.num_rows)
                 score = sigmoid(sums[: part.num_rows] + model.intercept)
@@ -209,7 +211,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, cut: float = 0.5) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=STEP_BYTES):
                 rows, places = _present(part.column("text"), model.buckets)
                 sums = np.bincount(rows, model.weights[places], part.num_rows)
                 yield part.filter(pa.array(sigmoid(sums[: part.num_rows] + model.intercept) < cut))

@@ -20,7 +20,7 @@ ship_by_value(__name__)
 #: Separators of ``[^\x20\x09-\x0D]+``.
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Bytes of text that one numpy step takes at most (a longer document is a step of its own).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 _LANES = 32  # words of more than eight times as many bytes are hashed one by one
 
