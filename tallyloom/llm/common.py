@@ -35,5 +35,26 @@ def worker_store() -> dict:
     return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
+class RecentlyUsed(dict):
+    """A dictionary in two generations, so that it holds about twice ``size`` entries at most.
+
+    When the young one is full it becomes the old one; entries asked for again move over.
+    """
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def missing(self, keys: set) -> set:
+        """The keys that neither generation has; those of the old one become young again."""
+        if len(self) > self.size:
+            self.old = dict(self)
+            self.clear()
+        absent = keys - self.keys()
+        again = absent & self.old.keys()
+        self.update((k, self.old[k]) for k in again)
+        return absent - again
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60.0, 60.0)))

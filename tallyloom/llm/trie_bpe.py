@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import doc_text, worker_store
+from tallyloom.llm.common import RecentlyUsed, doc_text, worker_store
 from tallyloom.session import ship_by_value
 
 ship_by_value(__name__)
@@ -39,8 +39,8 @@ PIECES = (
 _DOUBTFUL = re.compile(rf"[{SPACE}] | [{SPACE}]")
 _UNITS = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
-#: Encoded units that a Python worker keeps at most.
-KEPT_UNITS = 500_000
+#: Encoded units in each of two generations, and pairs of tokens, that a Python worker keeps.
+KEPT_UNITS = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -83,8 +83,7 @@ class TrieBpe:
         self._unreachable = {t for t in self.ids if len(t) > 1 and t not in self._undo}
         self._unreachable |= {t for t, (a, b) in self._undo.items() if not self._holds(a, b, self._made[t])}
         self._known: dict[tuple[bytes, bytes], bool] = {}
-        self._first: dict[str, bytes] = {}
-        self._later: dict[str, bytes] = {}
+        self._first, self._later = RecentlyUsed(KEPT_UNITS), RecentlyUsed(KEPT_UNITS)
 
     def _holds(self, left: bytes, right: bytes, rank: int) -> bool:
         """Whether the two halves of a token meet before anything else joins across them."""
@@ -129,7 +128,7 @@ class TrieBpe:
         """Token ids of distinct words as 32-bit integers, by a depth-first walk of their trie."""
         out: dict[bytes, bytes] = {}
         ids, four, stable, longest, known = self.ids, self._four, self.stable, self.longest, self._known
-        if len(known) > 4 * KEPT_UNITS:
+        if len(known) > KEPT_UNITS:
             known.clear()
         path, last = b"", [b""]  # the state of each node on the path: its last token
         for word in sorted(words):
@@ -171,9 +170,6 @@ class TrieBpe:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self._first) + len(self._later) > KEPT_UNITS:
-            self._first.clear()
-            self._later.clear()
         plan, first, later = [], set(), set()
         for text in texts:
             cuts = [(m.start(), m.end()) for m in self._special.finditer(text)]
@@ -191,8 +187,8 @@ class TrieBpe:
                     later.update(rest)
                     parts.append(([head], rest))
             plan.append((parts, [self.specials[text[a:b]] for a, b in cuts]))
-        self._learn(first - self._first.keys(), self._first, "")
-        self._learn(later - self._later.keys(), self._later, " ")
+        self._learn(self._first.missing(first), self._first, "")
+        self._learn(self._later.missing(later), self._later, " ")
         out = []
         for parts, specials in plan:
             coded = []

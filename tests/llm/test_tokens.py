@@ -29,11 +29,14 @@ def test_trie_equals_the_library_on_odd_text():
 
 
 def test_kept_units_do_not_change_results(monkeypatch):
-    own = TrieBpe(open(BYTES, encoding="utf-8").read())
     texts = ["some words here", "other words there", "some words here"]
-    first = own.encode_batch(texts)
-    monkeypatch.setattr("tallyloom.llm.trie_bpe.KEPT_UNITS", 0)
-    assert own.encode_batch(texts) == first
+    first = TrieBpe(open(BYTES, encoding="utf-8").read()).encode_batch(texts)
+    monkeypatch.setattr("tallyloom.llm.trie_bpe.KEPT_UNITS", 1)
+    small = TrieBpe(open(BYTES, encoding="utf-8").read())
+    assert [small.encode_batch([t])[0] for t in texts * 2] == first * 2
+    monkeypatch.setattr("tallyloom.llm.token_files.KEPT_WORDS", 1)
+    words = token_files.WordCodes(WORDS, wide=True)
+    assert [words.ids([t])[0] for t in texts * 2] == token_files.WordCodes(WORDS, True).ids(texts * 2)
 
 
 def test_round_trip_of_edge_rows(edge_docs, no_docs):
