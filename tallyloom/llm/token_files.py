@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import doc_text, partitions, worker_store
+from tallyloom.llm.common import RecentlyUsed, doc_text, partitions, worker_store
 from tallyloom.llm.words import steps
 from tallyloom.session import scratch_dir, ship_by_value
 
@@ -33,8 +33,8 @@ ship_by_value(__name__)
 ROW_TOKENS = 2048
 #: Rows of a record batch; a part is written batch by batch.
 BATCH_ROWS = 256
-#: Distinct words whose ids a Python worker keeps at most.
-KEPT_WORDS = 400_000
+#: Distinct words in each of two generations whose ids a Python worker keeps.
+KEPT_WORDS = 250_000
 
 MANIFEST = "part int, name string, docs long, tokens long"
 
@@ -45,33 +45,57 @@ class WordCodes:
     Each distinct word goes through the tokenizer once for as long as it is kept.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, wide: bool):
         from tokenizers import Tokenizer
 
+        self.kind = np.dtype("<u4" if wide else "<u2")
+
         self.tokenizer = Tokenizer.from_file(path)
+        if not wide and self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids over 65,535 need wide files")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.codes: dict[str, bytes] = {}
+        self.codes = RecentlyUsed(KEPT_WORDS)
+        self.mark_id, token = max(self.tokenizer.get_added_tokens_decoder().items())
+        self.mark = token.content
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.codes) > KEPT_WORDS:
-            self.codes.clear()
+        """The ids of each text as little-endian unsigned integers of 16 or 32 bits."""
         # only blanks and line feeds part words here; the tokenizer sees to other white space
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for ws in words for w in ws} - self.codes.keys())
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.codes[word] = np.array(e.ids, "<u4").tobytes()
+        new = self.codes.missing(set().union(*words))
+        # a stop after letters, and ASCII capitals alone, do not change how the rest is encoded
+        stems = {}
+        for word in new:
+            stem = word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word
+            stems[word] = stem.lower() if stem.isascii() else stem
+        self._learn(list({*stems.values(), ".", ","} - self.codes.keys()))
+        for word, stem in stems.items():
+            code = self.codes[stem]
+            self.codes[word] = code + self.codes[word[-1]] if len(stem) < len(word) else code
         return [b"".join(map(self.codes.__getitem__, ws)) for ws in words]
 
-
-def word_codes(path: str) -> WordCodes:
-    store = worker_store()
-    if ("word codes", path) not in store:
-        store["word codes", path] = WordCodes(path)
-    return store["word codes", path]
+    def _learn(self, words: list[str]) -> None:
+        """Encodes many words in one call, with a special token between them as a mark."""
+        simple = [w for w in words if self.mark not in w]
+        for k in range(0, len(simple), 4096):
+            part = simple[k : k + 4096]
+            (coded,) = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)
+            ids, size = np.array(coded.ids, self.kind), self.kind.itemsize
+            cuts = size * np.flatnonzero(ids == self.mark_id)
+            data, at = ids.tobytes(), [-size, *cuts.tolist(), size * len(ids)]
+            for i, word in enumerate(part):
+                self.codes[word] = data[at[i] + size : at[i + 1]]
+        for word in set(words).difference(simple):
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            self.codes[word] = np.array(ids, self.kind).tobytes()
+
+
+def word_codes(path: str, wide: bool) -> WordCodes:
+    store, key = worker_store(), ("word codes", path, wide)
+    if key not in store:
+        store[key] = WordCodes(path, wide)
+    return store[key]
 
 
 class _PartWriter:
@@ -124,17 +148,17 @@ def _write_parts(folder: str, path: str, end_id: int, row: int, wide: bool):
         store, base = fs.FileSystem.from_uri(folder)
         name = f"part-{part:07d}"
         draft = f"{base}/_{name}-{attempt}"
-        kind, dtype = (pa.uint32(), np.uint32) if wide else (pa.uint16(), np.uint16)
-        codes, writer, ids, firsts = word_codes(path), None, [], []
+        kind = pa.uint32() if wide else pa.uint16()
+        codes, ids, firsts = word_codes(path, wide), [], []
         with store.open_output_stream(f"{draft}.arrow") as sink:
             writer = _PartWriter(sink, kind, row)
-            end = np.array([end_id], "<u4").tobytes()
+            end = np.array([end_id], codes.kind).tobytes()
             for batch in batches:
                 for piece in steps(batch):
                     coded = codes.ids([t or "" for t in piece.column("text").to_pylist()])
-                    sizes = np.array([len(c) // 4 + 1 for c in coded], np.int64)
+                    sizes = np.array([len(c) // codes.kind.itemsize + 1 for c in coded], np.int64)
                     firsts.append(writer.total + np.cumsum(sizes) - sizes)
-                    flat = np.frombuffer(end.join([*coded, b""]), "<u4").astype(dtype)
+                    flat = np.frombuffer(end.join([*coded, b""]), codes.kind)
                     ends = np.zeros(len(flat), bool)
                     ends[np.cumsum(sizes) - 1] = True
                     writer.add(flat, ends)
