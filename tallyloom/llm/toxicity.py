@@ -67,14 +67,13 @@ def _present(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndar
 
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of each class hold each bucket, per task."""
-    counts = np.zeros((2, 1 << BITS), np.int64)
+    counts = np.zeros((2, 1 << BITS), np.int32)
     for batch in batches:
         for part in steps(batch, limit=STEP_BYTES):
             rows, buckets = _present(part.column("text"))
             label = part.column("label").to_numpy(zero_copy_only=False)[rows]
-            for c in (0, 1):
-                counts[c] += np.bincount(buckets[label == c], minlength=1 << BITS)
-    seen = np.flatnonzero(counts.sum(axis=0))
+            np.add.at(counts, (label, buckets), 1)
+    seen = np.flatnonzero(counts.any(axis=0)).astype(np.int32)
     yield pa.RecordBatch.from_arrays(
         [pa.array(seen), pa.array(counts[0, seen]), pa.array(counts[1, seen])], ["bucket", "clean", "toxic"]
     )
@@ -156,7 +155,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
         return ToxicityModel(none, np.zeros(0), float(np.log(rate / (1 - rate))))
     n0, n1 = sizes[0], sizes[1]
     counts = (
-        sample.mapInArrow(_class_counts, "bucket long, clean long, toxic long")
+        sample.mapInArrow(_class_counts, "bucket int, clean int, toxic int")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     )

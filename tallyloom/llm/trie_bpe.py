@@ -201,6 +201,11 @@ class TrieBpe:
             out.append(b"".join(coded))
         return out
 
+    def rest(self) -> None:
+        """Gives up what is kept beside the young generations, between tasks."""
+        self._known.clear()
+        self._first.old, self._later.old = {}, {}
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of a list of ids; bytes that are no UTF-8 become replacement characters."""
         return b"".join(map(self.table.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -226,6 +231,7 @@ def _encode(path: str):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(coded, pa.binary())], ["doc_id", "ids"]
                 )
+        bpe.rest()
 
     return run
 
