@@ -89,7 +89,7 @@ def op5_token_files(spark: SparkSession, d: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Words of every document that repeat passages of earlier documents."""
     found = substring_dedup.duplicate_spans(table(spark, d, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 @query
@@ -103,7 +103,6 @@ def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         sha256_of(F.array_join(F.array_sort("items"), ",")).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        "longest",
     )
 
 

@@ -151,3 +151,57 @@ FROM measured m
 
 
 ORACLES["op9_quality_rules"] = _quality_rules()
+
+
+def _substring_dedup() -> str:
+    return """
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') AS ws
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM docs)),
+firsts AS (SELECT w, min(doc_id) AS first FROM windows GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM windows JOIN firsts USING (w) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+def _decontamination() -> str:
+    split = (
+        "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+        " 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    )
+    return f"""
+WITH docs AS (SELECT doc_id, {split} AS ws FROM documents),
+items AS (SELECT item_id, {split} AS ws FROM benchmark),
+sought AS (
+  SELECT DISTINCT item_id, n, md5(array_to_string(ws[i:i + n - 1], ' ')) AS w
+  FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM (SELECT item_id, ws, least(10, len(ws)) AS n FROM items WHERE len(ws) > 0))),
+sizes AS (SELECT DISTINCT n FROM sought),
+windows AS (
+  SELECT doc_id, n, i, md5(array_to_string(ws[i:i + n - 1], ' ')) AS w
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM docs, sizes WHERE len(ws) >= n)),
+found AS (SELECT doc_id, item_id, n, i FROM windows JOIN sought USING (n, w)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+names AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(m.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(m.list, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h USING (doc_id) LEFT JOIN names m USING (doc_id)
+"""
+
+
+ORACLES["op6_substring_dedup"] = _substring_dedup()
+ORACLES["op7_decontamination"] = _decontamination()
