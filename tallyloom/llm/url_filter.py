@@ -6,8 +6,8 @@ towards that of the next shorter one, so contexts that were never seen fall back
 The score of a URL is the difference of its log-likelihoods per character; the cut is where a part
 of the decided URLs, kept out of the counts, is told apart best.
 
-Digits are folded and every distinct shape of a URL counts once, so a host with very many pages
-weighs as much as its distinct shapes. Only DataFrame functions are used.
+The models see the whole text of a URL as it stands, with its scheme, query and fragment. Equal
+URLs are worked on once but count as often as pages have them. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -59,16 +59,24 @@ def rule_column(host: Column, path: Column, rules: tuple, what: str) -> Column:
 
 
 def parsed_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
-    """(page_id, host, path, rule, decided, shape) of each page; digits of a shape are all zero."""
+    """(page_id, host, path, rule, decided, shape) of each page; the shape is the whole URL."""
     host, path = F.col("host"), F.col("path")
     return (
-        pages.select(F.col("page_id"), host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+        pages.select(
+            F.col("page_id"),
+            host_of(F.col("url")).alias("host"),
+            path_of(F.col("url")).alias("path"),
+            F.coalesce(F.col("url"), F.lit("")).alias("shape"),
+        )
         .withColumn("rule", rule_column(host, path, rules, "rule"))
         .withColumn("decided", rule_column(host, path, rules, "verdict"))
-        .withColumn("shape", F.translate(F.concat("host", "path"), "123456789", "000000000"))
     )
 
 
+def _pages_of(verdict: str) -> Column:
+    return F.sum(F.when(F.col("decided") == verdict, F.col("n")).otherwise(0))
+
+
 def _kept_out(shape: Column) -> Column:
     return F.crc32(shape) % 5 == 0
 
@@ -88,13 +96,13 @@ def _gram_rows(shapes: DataFrame) -> DataFrame:
 def gram_ratios(grams: DataFrame) -> DataFrame:
     """(gram, ratio): log ratio of the accepted and the rejected model for each distinct gram.
 
-    ``grams`` has ``gram`` and ``decided`` (null where a row only needs a ratio).
+    ``grams`` has ``gram``, ``decided`` (null where a row only needs a ratio) and ``n``, the pages
+    that a row stands for.
     """
     counted = stored(
         grams.groupBy("gram").agg(
-            F.sum((F.col("decided") == "allow").cast("long")).alias("good"),
-            F.sum((F.col("decided") == "block").cast("long")).alias("bad"),
-        ).na.fill(0, ["good", "bad"]),
+            _pages_of("allow").alias("good"), _pages_of("block").alias("bad")
+        ),
         "url-grams",
     )
     totals = counted.agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
@@ -125,16 +133,13 @@ def gram_ratios(grams: DataFrame) -> DataFrame:
 
 
 def _best_cut(scored: DataFrame) -> float:
-    """The score that tells kept-out accepted and rejected shapes apart best; 0 without both."""
+    """The score that tells kept-out accepted and rejected pages apart best; 0 without both."""
     step = F.least(F.greatest(F.round(F.col("score") * STEPS), F.lit(-SPAN * STEPS)), F.lit(SPAN * STEPS))
     # at most one row for each step of the score
     rows = (
         scored.filter(F.col("decided").isNotNull() & _kept_out(F.col("shape")))
         .groupBy(step.cast("long").alias("step"))
-        .agg(
-            F.sum((F.col("decided") == "allow").cast("long")).alias("good"),
-            F.sum((F.col("decided") == "block").cast("long")).alias("bad"),
-        )
+        .agg(_pages_of("allow").alias("good"), _pages_of("block").alias("bad"))
         .orderBy("step")
         .collect()
     )
@@ -155,18 +160,18 @@ def url_verdicts(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every page.
 
     A null URL, or one without ``://``, has an empty host and path and is judged by the models
-    like any other. ``score`` is null where a rule decides. Without decided URLs of both kinds
+    like any other, by its own text (a null one by the empty text). ``score`` is null where a rule decides. Without decided URLs of both kinds
     every other URL is allowed when its score is 0 or more. Repeated rows are judged alike, ids
     are only passed on, and other columns are ignored. An empty table gives no rows.
     """
     parsed = parsed_urls(pages, rules)
-    shapes = stored(parsed.select("shape", "decided").distinct(), "url-shapes")
+    shapes = stored(parsed.groupBy("shape", "decided").agg(F.count(F.lit(1)).alias("n")), "url-shapes")
     grams = _gram_rows(shapes)
     counts = F.when(_kept_out(F.col("shape")), F.lit(None)).otherwise(F.col("decided"))
     ratios = gram_ratios(grams.withColumn("decided", counts))
     needed = grams.filter(F.col("decided").isNull() | _kept_out(F.col("shape")))
     scored = stored(
-        needed.join(ratios, "gram").groupBy("shape", "decided").agg(F.avg("ratio").alias("score")), "url-scores"
+        needed.join(ratios, "gram").groupBy("shape", "decided", "n").agg(F.avg("ratio").alias("score")), "url-scores"
     )
     cut = _best_cut(scored)
     judged = scored.filter("decided IS NULL").select("shape", "score")

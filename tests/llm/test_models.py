@@ -113,3 +113,49 @@ def test_url_rules(spark):
 def test_url_filter_is_native(spark, folder):
     plan = url_filter.url_verdicts(table(spark, folder, "pages"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_url_scores(urls, decided):
+    """The scores of ``url_verdicts`` by plain counting over every row."""
+    from zlib import crc32
+
+    def steps(u):
+        t = f"^{u}$"
+        return [t[max(0, i - url_filter.ORDER) : i + 1] for i in range(1, len(t))]
+
+    counts = {"allow": {}, "block": {}}
+    for u, d in zip(urls, decided):
+        if d and crc32(u.encode()) % 5:
+            for g in steps(u):
+                for own in (g[-k - 1 :] for k in range(url_filter.ORDER + 1) if len(g) > k):
+                    counts[d][own] = counts[d].get(own, 0) + 1
+    around = {}
+    for d, seen in counts.items():
+        around[d] = {}
+        for own, n in seen.items():
+            around[d][own[:-1]] = around[d].get(own[:-1], 0) + n
+
+    def chance(g, d):
+        p = url_filter.UNIFORM
+        for own in (g[-k - 1 :] for k in range(url_filter.ORDER + 1) if len(g) > k):
+            p = (counts[d].get(own, 0) + url_filter.SMOOTHING * p) / (around[d].get(own[:-1], 0) + url_filter.SMOOTHING)
+        return p
+
+    return {
+        u: np.mean([math.log(chance(g, "allow")) - math.log(chance(g, "block")) for g in steps(u)])
+        for u, d in zip(urls, decided)
+        if not d
+    }
+
+
+def test_url_scores_use_whole_urls_of_all_pages(spark):
+    allowed = [f"http://a{i}.com/p?good={i}" for i in range(9)] + ["http://often.com/?x=7"] * 40
+    blocked = [f"http://b{i}.net/fr/q#bad-{i}" for i in range(9)]
+    other = ["http://c.org/p?good=1", "http://c.org/p?bad-9", "http://c.org/p?x=7", "good=1", "bad-9", "http://c.org/p?x=8"]
+    urls = allowed + blocked + other
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {urls[r.page_id]: r.score for r in url_filter.url_verdicts(pages).collect() if r.rule is None}
+    want = plain_url_scores(urls, ["allow"] * len(allowed) + ["block"] * len(blocked) + [None] * len(other))
+    assert got == pytest.approx(want, rel=1e-9)
+    assert len(set(got.values())) == len(other)
+    assert got["http://c.org/p?good=1"] > got["http://c.org/p?bad-9"] and got["good=1"] > got["bad-9"]
