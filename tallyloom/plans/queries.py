@@ -41,31 +41,6 @@ KEY, LABEL, YES = ACCOUNT.id_col, ACCOUNT.label_col, ACCOUNT.positive
 RATE_COLUMNS = ("segment", "last_status", "last_priority", "active", "tenure_group")
 NUMBERS = ("tenure", "monthly_charges", "total_charges")
 THRESHOLD = 0.1
-# Search spaces that the catalogue's comparison declares for its narrow account table; the
-# library's defaults are in estimators.py.
-ACCOUNT_SPACES = {
-    "logreg": {"C": ("log", 1e-2, 1e2), "max_iter": ("choice", 100)},
-    "random_forest": {
-        "n_estimators": ("int", 20, 40, 10),
-        "max_depth": ("choice", 4, 5, 6),
-        "min_samples_leaf": ("int", 1, 20, 1),
-        "max_features": ("choice", "sqrt", "log2", 0.5),
-    },
-    "hist_gb": {
-        "learning_rate": ("log", 0.1, 0.5),
-        "max_iter": ("int", 6, 10, 1),
-        "max_leaf_nodes": ("int", 4, 16, 1),
-        "min_samples_leaf": ("int", 5, 60, 1),
-    },
-    "lightgbm": {
-        "n_estimators": ("int", 6, 10, 1),
-        "learning_rate": ("log", 0.1, 0.5),
-        "num_leaves": ("int", 4, 16, 1),
-        "min_child_samples": ("int", 5, 60, 1),
-        "subsample": ("float", 0.6, 1.0),
-        "colsample_bytree": ("float", 0.6, 1.0),
-    },
-}
 
 
 def query(fn: Query) -> Query:
@@ -713,30 +688,27 @@ def oof_logreg(spark, d):
     return M.metric_record(scored, "label", "p", 0.5).drop("confusion")
 
 
-def _compare(spark, d, n_trials):
-    """All candidates on five folds, with draws from the declared spaces."""
-    return TR.compare_candidates(
-        _prepared(spark, d), "ACCOUNT", k=5, n_trials=n_trials, spaces=ACCOUNT_SPACES
-    )
+def _compare(spark, d):
+    """All candidates on five folds, with the library's search spaces and numbers of trials."""
+    return TR.compare_candidates(_prepared(spark, d), "ACCOUNT", k=5)
 
 
 @query
 def cv_candidates(spark, d):
-    return TR.comparison_table(spark, _compare(spark, d, 2))
+    return TR.comparison_table(spark, _compare(spark, d))
 
 
 def _final(spark, d, name="random_forest", params=None):
     planted = stored(X.planted_accounts(spark, d), "planted")
     split = stored(S.stratified_split(planted, KEY, LABEL, check_unique=False), "planted-split")
-    params = params or {"n_estimators": 20, "max_depth": 6}
     parts = {s: split.filter(F.col("split") == s) for s in ("train", "validation", "test")}
-    final = TR.fit_final(parts["train"], parts["validation"], "ACCOUNT", name, params)
+    final = TR.fit_final(parts["train"], parts["validation"], "ACCOUNT", name, params or {})
     return final, parts
 
 
 @query
 def select_model(spark, d):
-    winner = TR.select_candidate(_compare(spark, d, 1))
+    winner = TR.select_candidate(_compare(spark, d))
     final, parts = _final(spark, d, winner.name, winner.best[0])
     record = TR.evaluate_final(final, parts["test"], "ACCOUNT")
     return record.drop("confusion").withColumn("estimator", F.lit(winner.name))

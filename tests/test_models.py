@@ -219,3 +219,27 @@ def test_importances_sum_to_one(final):
     rows = T.feature_importances(final, "TELCO")
     assert sum(v for _, v in rows) == pytest.approx(1.0)
     assert {c for c, _ in rows} == {*TELCO.model_numeric, *TELCO.model_categorical}
+
+
+def test_catalogue_searches_the_full_spaces(spark, monkeypatch):
+    from tallyloom.plans import queries as Q
+
+    drawn, fitted = {}, []
+
+    def fold_scores(pair, fold, facts, name, params, key):
+        drawn.setdefault(name, []).append(params)
+        return name, fold
+
+    monkeypatch.setattr(T, "_fold_scores", fold_scores)
+    monkeypatch.setattr(T, "_fold_f1", lambda parts: tuple(0.5 for _ in parts))
+    monkeypatch.setattr(T, "fit_final", lambda *a: fitted.append(a[-2:]))
+    monkeypatch.setattr(T, "evaluate_final", lambda *a: spark.range(1).select(F.lit(1).alias("confusion")))
+    rows = Q.cv_candidates(spark, "/root/testdata/sf0.001").collect()
+    assert {r.candidate: r.n_trials for r in rows} == E.TRIALS
+    for name, params in drawn.items():
+        want = E.draw_params(name, E.TRIALS[name], 42)
+        assert sorted(map(repr, params)) == sorted(map(repr, [p for p in want for _ in range(5)]))
+    Q.select_model(spark, "/root/testdata/sf0.001")
+    Q._final(spark, "/root/testdata/sf0.001")
+    assert fitted[0][0] == "logreg" and fitted[0][1] in E.draw_params("logreg", E.TRIALS["logreg"], 42)
+    assert fitted[1] == ("random_forest", {})
