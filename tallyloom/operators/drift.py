@@ -158,6 +158,12 @@ def reference_edges(reference: DataFrame) -> dict[str, list[float]]:
     return edges
 
 
+def reference_categories(reference: DataFrame) -> list[str]:
+    """The features that a stored reference holds as categories."""
+    named = reference.filter(F.col("kind") == "categorical").select("feature").distinct()
+    return sorted(r["feature"] for r in named.collect())
+
+
 def psi(cells: DataFrame, keys: Sequence[str], expected: str = "e", actual: str = "a") -> DataFrame:
     """PSI per key over rows of paired shares: floor both, renormalise both, sum.
 
@@ -248,12 +254,9 @@ def observed_cells(
     table lacks are skipped.
     """
     edges = {f: e for f, e in reference_edges(reference).items() if f in current.columns}
-    named = reference.filter(F.col("kind") == "categorical").select("feature").distinct()
-    categorical = sorted(r["feature"] for r in named.collect())
+    categorical = [f for f in reference_categories(reference) if f in current.columns]
     return stored(
-        feature_cells(
-            current, edges, [f for f in categorical if f in current.columns], group_cols
-        ),
+        feature_cells(current, edges, categorical, group_cols),
         "observed-cells",
     )
 

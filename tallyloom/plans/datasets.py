@@ -24,9 +24,14 @@ def scored_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Logged features of an event: three numeric, two categorical."""
+    """Logged features of an event: four numeric, two categorical."""
+    return with_event_features(events(spark, folder))
+
+
+def with_event_features(df: DataFrame) -> DataFrame:
+    """The features of a table or stream of events."""
     k = F.from_json("props", "k int")["k"]
-    return events(spark, folder).select(
+    return df.select(
         "event_id",
         "ts",
         "ts_us",

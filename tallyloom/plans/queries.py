@@ -29,7 +29,13 @@ from tallyloom.sources.csv_table import read_csv, write_assignments, write_csv
 from tallyloom.sources.requests import flatten_items, parse_batches
 from tallyloom.sources.tables import events, table
 from tallyloom.spec import ACCOUNT
-from tallyloom.streaming.drift import psi_from_cells, windowed_cells
+from tallyloom.streaming.drift import (
+    latest_cells,
+    psi_with_open_windows,
+    reached_watermark,
+    start_cell_updates,
+    windowed_cells,
+)
 from tallyloom.streaming.quota import stream_quota_flags
 from tallyloom.streaming.score_log import start_score_log
 from tallyloom.streaming.tail_drift import start_tail_drift
@@ -801,15 +807,21 @@ def stream_quota(spark, d):
 @query
 def stream_drift(spark, d):
     reference = _reference(spark, d)
-    stream = _event_stream(spark, d).select(
-        F.timestamp_micros("ts_us").alias("event_time"), "value", "event_type"
-    )
-    edges = {f: e for f, e in D.reference_edges(reference).items() if f == "value"}
-    cells = windowed_cells(stream, "event_time", "1 day", "1 hour", edges, ["event_type"])
-    stored = _run_to_table(spark, cells, "stream-drift")
-    wanted = reference.filter(F.col("feature").isin("value", "event_type"))
-    return psi_from_cells(stored, wanted).select(
-        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "feature", "psi", "status"
+    stream = X.with_event_features(_event_stream(spark, d)).withColumn(
+        "event_time", F.timestamp_micros("ts_us")
+    )
+    edges = D.reference_edges(reference)
+    cells = windowed_cells(
+        stream, "event_time", "1 day", "1 hour", edges, D.reference_categories(reference)
+    )
+    base = scratch_dir(spark, "stream-drift")
+    started = start_cell_updates(cells, f"{base}/out", f"{base}/checkpoint")
+    started.awaitTermination()
+    return psi_with_open_windows(
+        latest_cells(spark, f"{base}/out"), reference, reached_watermark(started)
+    ).select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "feature", "psi", "status",
+        "provisional",
     )
 
 

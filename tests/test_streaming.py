@@ -163,3 +163,21 @@ def test_tail_drift_follows_the_log(spark, tmp_path):
     assert [r["status"] for r in rows] == ["ok", "alert"]
     tail = prediction_log.read_recent(spark, log, schema, 100).collect()
     assert {r["request_id"] for r in tail} == {f"{i:06d}" for i in range(900, 1000)}
+
+
+def test_stream_drift_has_all_features_and_the_open_window(spark):
+    from tallyloom.plans import datasets as X
+    from tallyloom.plans import queries as Q
+
+    folder = "/root/testdata/sf0.001"
+    got = Q.stream_drift(spark, folder).collect()
+    feats = X.event_features(spark, folder)
+    batch = D.drift_report(Q._reference(spark, folder), feats, ["day"]).collect()
+    assert {r["feature"] for r in got} == {*X.EVENT_NUMERIC, *X.EVENT_CATEGORICAL}
+    assert {(r["day"], r["feature"]): (r["psi"], r["status"]) for r in got} == {
+        (r["day"], r["feature"]): (r["psi"], r["status"]) for r in batch
+    }
+    newest = feats.agg(F.max("ts").alias("t")).first()["t"]
+    closed = feats.select("day", (F.to_timestamp("day") + F.expr("interval 1 day") <= F.lit(newest) - F.expr("interval 1 hour")).alias("c"))
+    want = {r["day"]: not r["c"] for r in closed.distinct().collect()}
+    assert {r["day"]: r["provisional"] for r in got} == want and any(want.values())
