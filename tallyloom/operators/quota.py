@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.ordering import bucketed_row_number
@@ -30,6 +30,7 @@ from tallyloom.session import ship_by_value
 WINDOW_SECONDS = 60
 LIMIT_PER_WINDOW = 120
 CHUNK_SECONDS = 900
+UNKNOWN_KEY = "unknown"
 _NONE = -(2**62)
 
 ship_by_value(__name__)
@@ -183,6 +184,10 @@ def _assign(chunk_us: int, window_us: int):
     return run
 
 
+def _known(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.lit(UNKNOWN_KEY))
+
+
 def window_starts(
     df: DataFrame,
     key: str,
@@ -191,15 +196,18 @@ def window_starts(
     window_seconds: int = WINDOW_SECONDS,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """(k, us, id, window_start) for every event; times in microseconds, the id a BIGINT."""
+    """(k, us, id, window_start) for every event with a time; times in microseconds, the id a BIGINT.
+
+    Events without a key share the key ``unknown``.
+    """
     window_us = int(window_seconds * 1_000_000)
     chunk_us = max(int(chunk_seconds * 1_000_000), window_us)
     events = df.select(
-        F.col(key).cast("string").alias("k"),
+        _known(key).alias("k"),
         F.expr(f"(`{micros}` - pmod(`{micros}`, {chunk_us}L)) div {chunk_us}L").alias("chunk"),
         F.col(micros).cast("bigint").alias("us"),
         F.col(event_id).cast("bigint").alias("id"),
-    ).filter(F.col("k").isNotNull() & F.col("us").isNotNull())
+    ).filter(F.col("us").isNotNull())
 
     maps = (
         events.select("k", "chunk", "us")
@@ -244,7 +252,8 @@ def quota_flags(
 ) -> DataFrame:
     """Every event with its window, its number in the window, and whether it is within quota.
 
-    Rejected events still count. Numbering cuts a window into pieces of a sixtieth, so even a
+    Rejected events still count. Events without a key share the key ``unknown``; those without a
+    time are in no window, have neither number nor window start and are not allowed. Numbering cuts a window into pieces of a sixtieth, so even a
     window that holds very many events is not numbered by one task.
     """
     piece_us = max(int(window_seconds * 1_000_000) // 60, 1)
@@ -254,7 +263,7 @@ def quota_flags(
     numbered = bucketed_row_number(
         placed, ["k", "window_start"], "piece", ["us", "id"], "n_in_window"
     )
-    return numbered.select(
+    flagged = numbered.select(
         F.col("k").alias("key"),
         F.col("id").alias("event_id"),
         F.col("us").alias("ts_us"),
@@ -262,3 +271,13 @@ def quota_flags(
         "n_in_window",
         (F.col("n_in_window") <= limit).alias("allowed"),
     )
+    absent = F.lit(None).cast("bigint")
+    untimed = df.filter(F.col(micros).cast("bigint").isNull()).select(
+        _known(key).alias("key"),
+        F.col(event_id).cast("bigint").alias("event_id"),
+        absent.alias("ts_us"),
+        absent.alias("window_start_us"),
+        absent.cast(flagged.schema["n_in_window"].dataType).alias("n_in_window"),
+        F.lit(False).alias("allowed"),
+    )
+    return flagged.unionByName(untimed)

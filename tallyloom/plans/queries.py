@@ -854,6 +854,13 @@ def stream_score_log(spark, d):
     ).awaitTermination()
     schema = prediction_log.log_schema(prediction_log.feature_struct(ACCOUNT))
     log = prediction_log.read_log(spark, f"{base}/log", schema)
-    return log.groupBy("prediction", "model_version").agg(
+    # refused items and batches have no prediction
+    refused = spark.read.parquet(f"{base}/log-refused").select(
+        F.lit(None).cast("string").alias("prediction"),
+        F.lit("v1").alias("model_version"),
+        "customer_id_hash",
+    )
+    rows = log.select(*refused.columns).unionByName(refused)
+    return rows.groupBy("prediction", "model_version").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("customer_id_hash").alias("n_clients")
     )

@@ -1,16 +1,18 @@
-"""Requests in, pseudonymised prediction log out."""
+"""Requests in, pseudonymised prediction log and table of refused items and batches out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.contracts import request_contract
+from tallyloom.functions.text import pseudonym
+from tallyloom.operators.contracts import request_contract, with_verdict
 from tallyloom.plans.preprocess import spec_by_name
 from tallyloom.plans.scoring import score_rows
 from tallyloom.plans.training import FinalModel
 from tallyloom.sources.prediction_log import by_day, log_records
 from tallyloom.sources.requests import flatten_items, parse_batches
+from tallyloom.spec import TabularSpec
 
 
 def score_requests(
@@ -38,6 +40,48 @@ def score_requests(
     )
 
 
+def refused_requests(bodies: DataFrame, spec: TabularSpec) -> DataFrame:
+    """(error, index, customer_id_hash, features, body) of what ``score_requests`` does not score.
+
+    An item is refused by its own errors, or with its batch where that is over the cap. A batch
+    without items is one row with the body as it came, as there is no id to replace in it.
+    """
+    parsed = parse_batches(bodies, "value")
+    capped = parsed.withColumns(
+        {"too_many": F.col("batch_error"), "batch_error": F.lit(None).cast("string")}
+    )
+    judged = with_verdict(flatten_items(capped, spec, ["too_many"]), request_contract(spec))
+    extra = F.coalesce(F.size("extra_keys") > 0, F.lit(False))
+    message = F.concat(F.lit("extra keys: "), F.concat_ws(",", "extra_keys"))
+    accepted = F.col("too_many").isNull() & F.coalesce("ok", F.lit(False)) & ~extra
+    items = judged.filter(~accepted).select(
+        F.concat_ws("; ", "too_many", "error", F.when(extra, message)).alias("error"),
+        F.col("index").cast("int").alias("index"),
+        pseudonym(F.col("customer_id")).alias("customer_id_hash"),
+        F.struct(*[F.col(c).cast("string").alias(c) for c in spec.features]).alias("features"),
+        F.lit(None).cast("string").alias("body"),
+    )
+    whole = parsed.filter(F.col("items").isNull() | (F.size("items") < 1)).select(
+        F.col("batch_error").alias("error"),
+        F.lit(None).cast("int").alias("index"),
+        F.lit(None).cast("string").alias("customer_id_hash"),
+        F.lit(None).cast(items.schema["features"].dataType).alias("features"),
+        F.col("value").alias("body"),
+    )
+    return items.unionByName(whole)
+
+
+class BothSinks:
+    """The streams of accepted and of refused requests."""
+
+    def __init__(self, *queries):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+
 def start_score_log(
     spark: SparkSession,
     request_folder: str,
@@ -47,8 +91,12 @@ def start_score_log(
     log_path: str,
     checkpoint: str,
     max_files: int = 1000,
-):
-    """Append one log record per accepted item; stateless, so any parallelism is safe."""
+    refused_path: str | None = None,
+) -> BothSinks:
+    """Append one log record per accepted item; stateless, so any parallelism is safe.
+
+    Refused items and batches go to ``refused_path``, by default ``<log_path>-refused``.
+    """
     s = spec_by_name(spec_name)
     bodies = (
         spark.readStream.option("maxFilesPerTrigger", max_files).text(request_folder)
@@ -57,7 +105,16 @@ def start_score_log(
     records = log_records(
         scored, s.features, "customer_id", "churn_probability", "prediction", model_version
     )
-    return (
+    refused = (
+        refused_requests(bodies, s)
+        .writeStream.format("parquet")
+        .option("path", refused_path or f"{log_path}-refused")
+        .option("checkpointLocation", f"{checkpoint}-refused")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    logged = (
         by_day(records)
         .writeStream.partitionBy("day")
         .format("json")
@@ -67,3 +124,4 @@ def start_score_log(
         .trigger(availableNow=True)
         .start()
     )
+    return BothSinks(logged, refused)

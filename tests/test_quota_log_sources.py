@@ -138,3 +138,12 @@ def test_report_row(spark, tmp_path):
     path = reports.write_report(row, str(tmp_path / "r"))
     back = spark.read.schema(row.schema).json(path).first()
     assert back["n_records"] == 50 and [f["feature"] for f in back["features"]] == ["a", "b"]
+
+
+def test_quota_keeps_events_without_key_or_time(spark):
+    events = [("a", 0, 1), (None, 0, 2), (None, S, 3), ("a", None, 4), (None, None, 5)]
+    df = spark.createDataFrame(events, "k string, us long, id long")
+    got = {r["event_id"]: (r["key"], r["window_start_us"], r["n_in_window"], r["allowed"])
+           for r in quota_flags(df, "k", "us", "id", 1, 60).collect()}
+    assert got == {1: ("a", 0, 1, True), 2: ("unknown", 0, 1, True), 3: ("unknown", 0, 2, False),
+                   4: ("a", None, None, False), 5: ("unknown", None, None, False)}

@@ -181,3 +181,20 @@ def test_stream_drift_has_all_features_and_the_open_window(spark):
     closed = feats.select("day", (F.to_timestamp("day") + F.expr("interval 1 day") <= F.lit(newest) - F.expr("interval 1 hour")).alias("c"))
     want = {r["day"]: not r["c"] for r in closed.distinct().collect()}
     assert {r["day"]: r["provisional"] for r in got} == want and any(want.values())
+
+
+def test_refused_requests_are_kept(spark, accounts):
+    from tallyloom.streaming.score_log import refused_requests
+
+    item = request_json("customerID", [F.col(c) for c in TELCO.features])
+    good, bad = [r[0] for r in accounts({}, {"tenure": "-1"}).select(item).collect()]
+    extra = good.replace('"gender"', '"ssn":"1","gender"')
+    bodies = ['{"items":[%s]}' % ",".join([good, bad, extra]), "broken", '{"items":[]}',
+              '{"items":[%s]}' % ",".join([good] * 65)]
+    rows = refused_requests(spark.createDataFrame([(b,) for b in bodies], "value string"), TELCO).collect()
+    capped = [r for r in rows if r["error"].startswith("batch: more than")]
+    assert len(capped) == 65 and len(rows) == 69
+    rest = {(r["index"], r["body"]): r for r in rows if r not in capped}
+    assert set(rest) == {(1, None), (2, None), (None, "broken"), (None, '{"items":[]}')}
+    assert all(r["error"] for r in rest.values()) and "ssn" in rest[2, None]["error"]
+    assert rest[1, None]["features"]["tenure"] == "-1" and "TEST-0000" not in str(rows)
