@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import small_table
+
 MAX_FILE_BYTES = 2**31 - 1
 
 
@@ -13,10 +15,11 @@ class ChecksumError(RuntimeError):
 
 
 def file_checksums(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(file, length, sha256) of every matching file, one task per group of files.
+    """(file, length, sha256) of every matching file of any size, one task per group of files.
 
-    SHA-256 runs over the raw bytes, so a file is one row; those beyond the 2 GB row limit
-    are listed with a NULL digest by a second scan that does not read their content.
+    A file is one row of a task up to the 2 GB row limit. Python tasks cannot open every store
+    that Spark reads, so longer files are streamed through SHA-256 by the driver's JVM, one after
+    the other and a buffer at a time.
     """
     files = (
         spark.read.format("binaryFile")
@@ -28,16 +31,30 @@ def file_checksums(spark: SparkSession, folder: str, pattern: str = "*") -> Data
     small = files.filter(F.col("length") <= MAX_FILE_BYTES).select(
         name, "length", F.sha2("content", 256).alias("sha256")
     )
-    large = files.filter(F.col("length") > MAX_FILE_BYTES).select(
-        name, "length", F.lit(None).cast("string").alias("sha256")
-    )
-    return small.unionByName(large)
+    long_files = files.filter(F.col("length") > MAX_FILE_BYTES)
+    large = [
+        (r["file"], r["length"], _streamed_digest(spark, r["path"]))
+        for r in long_files.select("path", name, "length").collect()
+    ]
+    if not large:
+        return small
+    return small.unionByName(small_table(spark, large, "file string, length bigint, sha256 string"))
+
+
+def _streamed_digest(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(at)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def against_manifest(checksums: DataFrame, manifest: DataFrame) -> DataFrame:
     """Status per file of either side: match, mismatch, missing, unlisted or unread.
 
-    A file without digest (see above) is unread, and a pin that is NULL matches nothing.
+    A file whose digest is NULL is unread, and a pin that is NULL matches nothing.
     """
     pins = manifest.select("file", F.col("sha256").alias("expected"), F.lit(1).alias("listed"))
     found = checksums.withColumn("found", F.lit(1))

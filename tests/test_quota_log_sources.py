@@ -147,3 +147,13 @@ def test_quota_keeps_events_without_key_or_time(spark):
            for r in quota_flags(df, "k", "us", "id", 1, 60).collect()}
     assert got == {1: ("a", 0, 1, True), 2: ("unknown", 0, 1, True), 3: ("unknown", 0, 2, False),
                    4: ("a", None, None, False), 5: ("unknown", None, None, False)}
+
+
+def test_checksums_of_long_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checksum, "MAX_FILE_BYTES", 10)
+    bodies = {"short.csv": b"0123456789", "long one%20.csv": b"0123456789" * 30_000}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    rows = checksum.file_checksums(spark, str(tmp_path), "*.csv").collect()
+    assert {r["file"]: (r["length"], r["sha256"]) for r in rows} == {
+        name: (len(body), hashlib.sha256(body).hexdigest()) for name, body in bodies.items()}
