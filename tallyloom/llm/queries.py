@@ -15,6 +15,7 @@ from tallyloom.llm import (
     secret_scan,
     signature_join,
     substring_dedup,
+    token_counts,
     token_files,
     toxicity,
     trie_bpe,
@@ -132,3 +133,10 @@ def op10_signature_join(spark: SparkSession, d: str) -> DataFrame:
     """Groups of documents whose 4-word shingle sets share 85 per cent of their union."""
     linked = signature_join.linked_documents(table(spark, d, "documents"), size=4, percent=85)
     return linked.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op13_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 512 tokens."""
+    counted = token_counts.token_counts(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
