@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import (
+    conversation_repair,
     decontaminate,
     pu_quality,
     quality_rules,
@@ -135,6 +136,42 @@ def op10_signature_join(spark: SparkSession, d: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+def damaged_messages(messages: DataFrame) -> DataFrame:
+    """Messages with faults put in by a hash of conversation and turn; nulls count as one blank."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat_ws(":", blank("conv_id"), blank("turn"))) % 20
+    return (
+        messages.withColumn("fault", fault)
+        .filter("fault <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("fault") == 4, "user").otherwise(blank("role")).alias("role"),
+            F.when(F.col("fault") == 1, "")
+            .when(F.col("fault") == 2, F.translate(blank("text"), ".!?", ""))
+            .otherwise(blank("text"))
+            .alias("text"),
+            F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    """Faults of every damaged conversation, its cheapest edits and the digest of what they give."""
+    original = table(spark, d, "conversations")
+    messages = damaged_messages(original)
+    plan = conversation_repair.repair_plan(messages)
+    digests = conversation_repair.message_digests(conversation_repair.repaired_messages(messages, plan))
+    digests = digests.withColumnRenamed("conv_id", "digest_id")
+    found = conversation_repair.report(plan, original)
+    return found.join(digests, F.col("conv_id").eqNullSafe(F.col("digest_id")), "left").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 @query
 def op13_token_counts(spark: SparkSession, d: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it has more than 512 tokens."""
