@@ -15,6 +15,7 @@ from tallyloom.llm import (
     quality_rules,
     secret_scan,
     signature_join,
+    spelling_variants,
     substring_dedup,
     token_counts,
     token_files,
@@ -136,6 +137,13 @@ def op10_signature_join(spark: SparkSession, d: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Words of all documents, some misspelt by a hash, with the more frequent words near them."""
+    words = spelling_variants.word_counts(table(spark, d, "documents"), every=31)
+    return spelling_variants.variant_groups(words)
+
+
 def damaged_messages(messages: DataFrame) -> DataFrame:
     """Messages with faults put in by a hash of conversation and turn; nulls count as one blank."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
