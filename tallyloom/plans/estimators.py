@@ -1,4 +1,7 @@
-"""Candidate classifiers by name, with their search spaces."""
+"""Candidate classifiers by name, with their search spaces.
+
+Defaults of parameters that a draw leaves out are fixed values; those of trees are in ``trees``.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +10,12 @@ import random
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.plans.trees import TreeEnsemble
+
 FEATURES, LABEL, WEIGHT = "features", "label", "weight"
 
 
@@ -88,10 +89,6 @@ def row_weight(name: str, facts: TrainingFacts, label: str = LABEL) -> Column:
     return (positive_weight if name == "lightgbm" else balanced_weight)(facts, label)
 
 
-def _depth_of(leaves: int, cap: int = 30) -> int:
-    return max(1, min(cap, math.ceil(math.log2(max(leaves, 2)))))
-
-
 def _logreg(p: dict[str, Any], facts: TrainingFacts):
     # Same objective as inverse strength C: the balanced weights sum to n.
     return LogisticRegression(
@@ -102,50 +99,22 @@ def _logreg(p: dict[str, Any], facts: TrainingFacts):
     )
 
 
-def _random_forest(p: dict[str, Any], facts: TrainingFacts):
-    subset = p.get("max_features", "sqrt")
-    return RandomForestClassifier(
-        numTrees=int(p.get("n_estimators", 400)),
-        maxDepth=int(p.get("max_depth") or 30),
-        minInstancesPerNode=int(p.get("min_samples_leaf", 5)),
-        featureSubsetStrategy=str(subset),
-        seed=int(p.get("random_state", 42)),
-    )
-
-
-def _hist_gb(p: dict[str, Any], facts: TrainingFacts):
-    return GBTClassifier(
-        stepSize=float(p.get("learning_rate", 0.1)),
-        maxIter=int(p.get("max_iter", 300)),
-        maxDepth=_depth_of(int(p.get("max_leaf_nodes", 31))),
-        minInstancesPerNode=int(p.get("min_samples_leaf", 20)),
-        seed=int(p.get("random_state", 42)),
-    )
-
-
-def _lightgbm(p: dict[str, Any], facts: TrainingFacts):
-    depth = int(p.get("max_depth", -1))
-    return GBTClassifier(
-        stepSize=float(p.get("learning_rate", 0.05)),
-        maxIter=int(p.get("n_estimators", 400)),
-        maxDepth=_depth_of(int(p.get("num_leaves", 31)), depth if depth > 0 else 30),
-        minInstancesPerNode=int(p.get("min_child_samples", 20)),
-        subsamplingRate=float(p.get("subsample", 1.0)),
-        featureSubsetStrategy=str(float(p.get("colsample_bytree", 1.0))),
-        seed=int(p.get("random_state", 42)),
-    )
+def _trees(name: str):
+    return lambda p, facts: TreeEnsemble(name, p)
 
 
 ESTIMATORS = {
     "logreg": _logreg,
-    "random_forest": _random_forest,
-    "hist_gb": _hist_gb,
-    "lightgbm": _lightgbm,
+    "random_forest": _trees("random_forest"),
+    "hist_gb": _trees("hist_gb"),
+    "lightgbm": _trees("lightgbm"),
 }
 
 
 def register_estimator(name: str, build, space: dict[str, tuple], trials: int = 20) -> None:
-    """Add a candidate: ``build(params, facts)`` gives an MLlib classifier."""
+    """Add a candidate: ``build(params, facts)`` gives a classifier like those of MLlib."""
+    if name in CANDIDATES:
+        raise ValueError(f"{name} is a candidate of the library")
     ESTIMATORS[name] = build
     SEARCH_SPACES[name] = space
     TRIALS[name] = trials

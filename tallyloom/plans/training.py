@@ -45,6 +45,7 @@ from tallyloom.plans.preprocess import (
     stateless_stages,
 )
 from tallyloom.operators.splitting import kfold
+from tallyloom.plans.search import SEARCH_ROWS, SEARCHED, fold_counts
 from tallyloom.session import small_table, stored
 
 # Near-tie distance, improvement gate, regression gate.
@@ -56,7 +57,7 @@ STABLE_BAND = 0.005
 
 @dataclass(frozen=True)
 class Tuned:
-    """A candidate's trials, each with its parameters and fold scores, and the seconds they took."""
+    """A candidate's trials, each with its parameters and fold scores, and the seconds of its fits."""
 
     name: str
     trials: tuple[tuple[dict[str, Any], tuple[float, ...]], ...]
@@ -140,6 +141,48 @@ def _fold_f1(parts: Sequence[DataFrame]) -> tuple[float, ...]:
     return tuple(r["f1"] for r in sorted(rows, key=lambda r: r["fold"]))
 
 
+def _search_together(
+    folded: DataFrame, spec_name: str, draws: dict[str, list[dict]], k: int, rows: int
+) -> list[Tuned]:
+    """Candidates of the library's own engine: all trials and folds in one Spark job."""
+    counts = fold_counts(folded, spec_by_name(spec_name), draws, k, rows).collect()
+    found: dict[tuple[str, int], dict[int, float]] = {}
+    seconds = dict.fromkeys(draws, 0.0)
+    for r in counts:
+        wrong = 2 * r["tp"] + r["fp"] + r["fn"]
+        found.setdefault((r["candidate"], r["trial"]), {})[r["fold"]] = 2 * r["tp"] / wrong if wrong else 0.0
+        seconds[r["candidate"]] += r["seconds"]
+    return [
+        Tuned(
+            name,
+            tuple((params, tuple(found[name, t][i] for i in range(k))) for t, params in enumerate(trials)),
+            seconds[name],
+        )
+        for name, trials in draws.items()
+    ]
+
+
+def _search_registered(
+    folded: DataFrame, spec_name: str, draws: dict[str, list[dict]], k: int, parallelism: int
+) -> list[Tuned]:
+    """Candidates with an MLlib classifier of the user's: one fit after another for each fold."""
+    key = spec_by_name(spec_name).id_col
+    pairs = fold_pairs(folded, spec_name, k)
+    try:
+        facts = [training_facts(train) for train, _ in pairs]
+        results = []
+        with ThreadPoolExecutor(parallelism) as pool:
+            for name, trials in draws.items():
+                started, own = time.perf_counter(), []
+                for params in trials:
+                    fits = [pool.submit(_fold_scores, pairs[i], i, facts[i], name, params, key) for i in range(k)]
+                    own.append((params, _fold_f1([fit.result() for fit in fits])))
+                results.append(Tuned(name, tuple(own), time.perf_counter() - started))
+        return results
+    finally:
+        release(pairs)
+
+
 def compare_candidates(
     prepared: DataFrame,
     spec_name: str,
@@ -149,41 +192,25 @@ def compare_candidates(
     n_trials: int | None = None,
     spaces: dict[str, dict[str, tuple]] | None = None,
     parallelism: int = 4,
+    rows: int = SEARCH_ROWS,
 ) -> list[Tuned]:
     """Tune every candidate on the same folds by random search.
 
     ``spaces`` replaces the search spaces of the candidates it names; draws are used as they are.
-    The fits of all trials and folds run from a pool of ``parallelism`` threads, so a cluster
-    stays busy while a boosting fit does its many small jobs; class counts are taken once a fold.
+    All trials of the library's candidates and all their folds are one Spark job over at most
+    ``rows`` labelled rows; candidates that a user registered are fitted by MLlib on all rows.
+    ``seconds`` is the time of a candidate's own fits, summed over tasks.
     """
-    key = spec_by_name(spec_name).id_col
-    folded = kfold(prepared, key, LABEL, k, seed).persist()
-    pairs = fold_pairs(folded, spec_name, k)
-    results = []
+    folded = kfold(prepared, spec_by_name(spec_name).id_col, LABEL, k, seed).persist()
+    draws = {n: draw_params(n, n_trials or TRIALS[n], seed, (spaces or {}).get(n)) for n in candidates}
+    own = {n: d for n, d in draws.items() if n in SEARCHED}
+    other = {n: d for n, d in draws.items() if n not in SEARCHED}
     try:
-        facts = [training_facts(train) for train, _ in pairs]
-        with ThreadPoolExecutor(parallelism) as pool:
-            started = time.perf_counter()
-            waiting = []
-            for name in candidates:
-                draws = draw_params(name, n_trials or TRIALS[name], seed, (spaces or {}).get(name))
-                for params in draws:
-                    fits = [
-                        pool.submit(_fold_scores, pairs[i], i, facts[i], name, params, key)
-                        for i in range(k)
-                    ]
-                    waiting.append((name, params, fits))
-            for name in candidates:
-                own = [
-                    (params, _fold_f1([fit.result() for fit in fits]))
-                    for n, params, fits in waiting
-                    if n == name
-                ]
-                results.append(Tuned(name, tuple(own), time.perf_counter() - started))
+        found = _search_together(folded, spec_name, own, k, rows) if own else []
+        found += _search_registered(folded, spec_name, other, k, parallelism) if other else []
     finally:
-        release(pairs)
         folded.unpersist()
-    return results
+    return sorted(found, key=lambda r: list(candidates).index(r.name))
 
 
 def comparison_table(spark: SparkSession, results: Sequence[Tuned]) -> DataFrame:

@@ -222,24 +222,74 @@ def test_importances_sum_to_one(final):
 
 
 def test_catalogue_searches_the_full_spaces(spark, monkeypatch):
+    """Every draw of the full spaces is fitted on every fold; the winner is refitted as drawn."""
     from tallyloom.plans import queries as Q
 
-    drawn, fitted = {}, []
-
-    def fold_scores(pair, fold, facts, name, params, key):
-        drawn.setdefault(name, []).append(params)
-        return name, fold
-
-    monkeypatch.setattr(T, "_fold_scores", fold_scores)
-    monkeypatch.setattr(T, "_fold_f1", lambda parts: tuple(0.5 for _ in parts))
+    fitted = []
     monkeypatch.setattr(T, "fit_final", lambda *a: fitted.append(a[-2:]))
     monkeypatch.setattr(T, "evaluate_final", lambda *a: spark.range(1).select(F.lit(1).alias("confusion")))
+    seen = []
+    plain = T.fold_counts
+
+    def fold_counts(folded, s, draws, k, rows):
+        assert draws == {n: E.draw_params(n, E.TRIALS[n], 42) for n in E.CANDIDATES} and k == 5
+        few = {n: trials if n == "logreg" else trials[:1] for n, trials in draws.items()}
+        seen.append(few)
+        return plain(folded, s, few, k, rows)
+
+    monkeypatch.setattr(T, "fold_counts", fold_counts)
+    monkeypatch.setattr(T, "_search_together", together_of(T._search_together, seen))
     rows = Q.cv_candidates(spark, "/root/testdata/sf0.001").collect()
-    assert {r.candidate: r.n_trials for r in rows} == E.TRIALS
-    for name, params in drawn.items():
-        want = E.draw_params(name, E.TRIALS[name], 42)
-        assert sorted(map(repr, params)) == sorted(map(repr, [p for p in want for _ in range(5)]))
+    assert {r.candidate for r in rows} == set(E.CANDIDATES) and all(r.seconds > 0 for r in rows)
+    assert len({r.seconds for r in rows}) == 4
     Q.select_model(spark, "/root/testdata/sf0.001")
+    name, params = fitted[0]
+    assert params in E.draw_params(name, E.TRIALS[name], 42)
     Q._final(spark, "/root/testdata/sf0.001")
-    assert fitted[0][0] == "logreg" and fitted[0][1] in E.draw_params("logreg", E.TRIALS["logreg"], 42)
     assert fitted[1] == ("random_forest", {})
+
+
+def together_of(search, seen):
+    """The search with only the trials that were fitted in its results."""
+
+    def run(folded, spec_name, draws, k, rows):
+        class Few(dict):
+            def items(self):
+                return seen[-1].items() if seen else super().items()
+
+        return search(folded, spec_name, Few(draws), k, rows)
+
+    return run
+
+
+def test_candidate_of_the_user(spark, churners):
+    from pyspark.ml.classification import NaiveBayes
+
+    E.register_estimator("bayes", lambda p, facts: NaiveBayes(modelType="gaussian"), {"x": ("choice", 1)}, 1)
+    try:
+        prepared = T.prepare(churners.filter("split = 'train'"), "TELCO")
+        found = T.compare_candidates(prepared, "TELCO", k=2, candidates=("bayes", "logreg"), n_trials=1)
+        assert [r.name for r in found] == ["bayes", "logreg"] and all(r.cv_f1 > 0.4 for r in found)
+        with pytest.raises(ValueError):
+            E.register_estimator("logreg", None, {})
+    finally:
+        for table in (E.ESTIMATORS, E.SEARCH_SPACES, E.TRIALS):
+            table.pop("bayes")
+
+
+def test_search_encodes_each_fold_by_its_own_rows():
+    import numpy as np
+
+    from tallyloom.plans import search
+
+    data = {
+        "numbers": np.array([[1.0], [3.0], [np.nan], [9.0], [100.0]]),
+        "categories": np.array([[0], [1], [0], [2], [3]]),
+        "y": np.array([0.0, 1, 0, 1, 1]),
+        "fold": np.array([0, 0, 0, 0, 1]),
+    }
+    ((x, y, held, held_y),) = search.encoded_folds(data, [1])
+    filled = np.array([1.0, 3.0, 3.0, 9.0])
+    assert x[:, 0] == pytest.approx((filled - filled.mean()) / filled.std())
+    assert x[:, 1:].tolist() == [[1, 0, 0], [0, 1, 0], [1, 0, 0], [0, 0, 1]] and y.tolist() == [0, 1, 0, 1]
+    assert held[0, 1:].tolist() == [0, 0, 0] and held_y.tolist() == [1.0]
