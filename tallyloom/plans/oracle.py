@@ -853,10 +853,10 @@ ORACLES: dict[str, str] = {
     ),
     "stream_quota": _quota("user_id", 86_400, 2),
     "stream_drift": _drift(
-        """SELECT grp AS day, feature, psi4 AS psi, status FROM result
-           WHERE feature IN ('value', 'event_type')
-             AND CAST(grp AS TIMESTAMP) + INTERVAL 1 DAY
-               <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+        """SELECT grp AS day, feature, psi4 AS psi, status,
+             CAST(grp AS TIMESTAMP) + INTERVAL 1 DAY
+               > (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS provisional
+           FROM result""",
         group="day",
         current="true",
     ),

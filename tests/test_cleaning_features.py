@@ -28,7 +28,7 @@ def test_numbers_never_become_nan(spark, text):
 def test_new_customer(accounts):
     row = engineer(
         clean(
-            accounts({"tenure": "0", "TotalCharges": None, "OnlineBackup": "No"}), TELCO
+            accounts({"tenure": "0", "TotalCharges": None, "InternetService": "DSL", "PhoneService": "Yes"}), TELCO
         ),
         TELCO,
     ).first()
@@ -43,7 +43,7 @@ def test_average_is_total_over_tenure_plus_one(accounts):
 
 
 def test_missing_access_service_counts_as_a_service(accounts):
-    row = engineer(clean(accounts({"InternetService": None}), TELCO), TELCO).first()
+    row = engineer(clean(accounts({"InternetService": None, "PhoneService": "Yes", "OnlineBackup": "Yes"}), TELCO), TELCO).first()
     assert row["service_count"] == 3
     assert row["no_security_support"] == 1
 

@@ -78,7 +78,7 @@ def test_log_round_trip_skips_torn_and_blank_lines(spark, accounts, tmp_path):
     assert None in {r["customer_id_hash"] for r in rows}
     assert len({r["request_id"] for r in rows}) == 3
     totals = prediction_log.logged_features(log, TELCO).select("TotalCharges").collect()
-    assert {t[0] for t in totals} == {612.3, None}
+    assert {t[0] for t in totals} == {2340.0, None}
     assert prediction_log.recent(log, 2).count() == 2
     assert prediction_log.recent(log, 0).count() == 0
 
@@ -87,7 +87,7 @@ def test_csv_keeps_blanks(spark, accounts, tmp_path):
     df = accounts({"TotalCharges": " "}, {})
     path = write_csv(df, str(tmp_path / "csv"))
     rows = read_csv(spark, path, TELCO, df.columns, validate=True).orderBy("customerID").collect()
-    assert [r["TotalCharges"] for r in rows] == [" ", "612.3"]
+    assert [r["TotalCharges"] for r in rows] == [" ", "2340"]
     assert rows[0]["tenure"] == 13
     with pytest.raises(Exception):
         read_csv(spark, str(tmp_path / "absent"), TELCO, df.columns).count()
@@ -127,7 +127,7 @@ def test_request_batches(spark, accounts):
     assert errors[4] == "batch: more than 64 items"
     items = flatten_items(parsed, TELCO, ["b"]).filter("b = 1").orderBy("index").collect()
     assert [r["extra_keys"] for r in items] == [[], ["ssn"]]
-    assert items[0]["TotalCharges"] == "612.3" and items[1]["customer_id"] == "TEST-0000"
+    assert items[0]["TotalCharges"] == "2340" and items[1]["customer_id"] == "TEST-0000"
 
 
 def test_report_row(spark, tmp_path):
