@@ -41,7 +41,7 @@ def _url_filter() -> str:
         )
     return f"""
 WITH parsed AS (
-  SELECT page_id,
+  SELECT page_id, coalesce(url, '') AS shape,
     coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
     coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
@@ -52,28 +52,29 @@ ruled AS (
       WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
       WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
       WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
-      WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule,
-    translate(host || path, '123456789', '000000000') AS shape
+      WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
   FROM parsed),
 judged AS (
   SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END
     AS decided FROM ruled),
-shapes AS (SELECT shape, decided, {crc32_of('shape')} % 5 = 0 AS out FROM (SELECT DISTINCT shape, decided FROM judged)),
+shapes AS (
+  SELECT shape, decided, n, {crc32_of('shape')} % 5 = 0 AS out
+  FROM (SELECT shape, decided, count(*) AS n FROM judged GROUP BY shape, decided)),
 grams AS (
-  SELECT shape, decided, out, substr('^' || shape || '$', greatest(1, i - 3)::INT, least(i, 4)::INT) AS gram
+  SELECT shape, decided, n, out, substr('^' || shape || '$', greatest(1, i - 3)::INT, least(i, 4)::INT) AS gram
   FROM (SELECT *, unnest(range(2, length(shape) + 3)) AS i FROM shapes)),
 counted AS (
-  SELECT gram, coalesce(sum((decided = 'allow' AND NOT out)::INT), 0) AS good,
-    coalesce(sum((decided = 'block' AND NOT out)::INT), 0) AS bad
+  SELECT gram, coalesce(sum(n * (decided = 'allow' AND NOT out)::INT), 0) AS good,
+    coalesce(sum(n * (decided = 'block' AND NOT out)::INT), 0) AS bad
   FROM grams GROUP BY gram),
 px AS (SELECT gram, 1.0::DOUBLE / 128 AS p_good, 1.0::DOUBLE / 128 AS p_bad FROM counted),
 {', '.join(orders)},
 scored AS (
-  SELECT shape, decided, any_value(out) AS out, avg(ln(p_good) - ln(p_bad)) AS score
+  SELECT shape, decided, any_value(out) AS out, any_value(n) AS n, avg(ln(p_good) - ln(p_bad)) AS score
   FROM grams JOIN p3 USING (gram) GROUP BY shape, decided),
 steps AS (
   SELECT least(greatest(round(score * 100), -1000), 1000)::BIGINT AS step,
-    sum((decided = 'allow')::INT) AS good, sum((decided = 'block')::INT) AS bad
+    sum(n * (decided = 'allow')::INT) AS good, sum(n * (decided = 'block')::INT) AS bad
   FROM scored WHERE decided IS NOT NULL AND out GROUP BY 1),
 sums AS (
   SELECT step, sum(good) OVER () AS all_good, sum(bad) OVER () AS all_bad,
