@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.session import ship_by_value, stored
+from tallyloom.session import scratch_dir, ship_by_value
 
 ship_by_value(__name__)
 
@@ -44,11 +44,18 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
     Alternates two steps until nothing changes: every node links its larger neighbours to its
     smallest one, then every node links itself and its smaller neighbours to its smallest one.
-    Each round is written to the shared scratch folder, which keeps the lineage short; only row
-    counts and check sums come to the driver.
+    Each round is written to the shared scratch folder, which keeps the lineage short. Two folders
+    take turns, so no more than two rounds lie there; only row counts and check sums come to the
+    driver.
     """
-    state = stored(_distinct(edges.filter("u <> v")), name)
-    seen = None
+    spark = edges.sparkSession
+    folders = [scratch_dir(spark, f"{name}-{i}") for i in range(2)]
+
+    def written(round_edges: DataFrame, turn: int) -> DataFrame:
+        _distinct(round_edges.filter("u <> v")).write.mode("overwrite").parquet(folders[turn % 2])
+        return spark.read.schema("u long, v long").parquet(folders[turn % 2])
+
+    state, turn, seen = written(edges, 0), 0, None
     while True:
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_smallest(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -57,7 +64,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             hung.select("u", F.col("m").alias("v"))
         )
-        state = stored(_distinct(small.filter("u <> v")), name)
+        turn += 1
+        state = written(small, turn)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break

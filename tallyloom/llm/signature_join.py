@@ -2,8 +2,10 @@
 
 Two sets link when ``percent`` of their union is shared. Sets that could link are first brought
 together: if the hash of a shingle deals both sets into more parts than shingles they can differ
-in, some part is equal in both, so equal parts (hashed, per size class) are the only candidates.
-Candidates that hang together form clusters. Within a cluster a signature tree is built: a leaf
+in, some part is equal in both, so equal parts (hashed, per size class) are the only candidates. Sets
+of a shared passage can have such a part, too, so a bound on what two sets share, from counts of
+their shingles in a few buckets, drops pairs that can't link. Candidates that then hang together
+form clusters. Within a cluster a signature tree is built: a leaf
 holds a few sets, and every node the OR of its sets' token bitmaps and the range of their sizes.
 A traversal of pairs of nodes drops those whose largest possible overlap is too small, and those
 whose sets are all in one component already; what is left is counted exactly.
@@ -37,6 +39,8 @@ PACKS_PER_PARTITION = 4
 LEAF = 8
 #: Further ways to deal a set into parts if too many parts stay empty; then all such sets meet.
 DEALS = 4
+#: Shingles that a bucket of a set's counting signature holds on average, at most.
+SHINGLES_PER_BUCKET = 4
 
 
 class ShingleSets:
@@ -158,19 +162,131 @@ def _send_keys(size: int, percent: int, blocks: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Links the nodes that share keys of this block, as edges to the smallest of each component."""
+    """(group, node): the distinct sets of nodes that share a key of this block, two at least.
+
+    Groups of equal members, as near copies give for most of their keys, come once. One too large
+    to be compared at a time is dealt into slices; every two slices make a group of their own.
+    """
     keys = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in table.column("keys")])
     nodes = np.concatenate([np.frombuffer(v.as_buffer(), np.int64) for v in table.column("nodes")])
-    order = np.argsort(keys)
+    order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
-    near = np.flatnonzero((keys[1:] == keys[:-1]) & (nodes[1:] != nodes[:-1]))
-    ends = np.concatenate([nodes[near], nodes[near + 1]])
-    names = np.sort(ends)
-    names = names[np.flatnonzero(np.concatenate([np.ones(min(1, len(names)), bool), names[1:] != names[:-1]]))]
-    at = np.searchsorted(names, ends)
-    label = local_components(len(names), at[: len(near)], at[len(near) :])
-    far = np.flatnonzero(label != np.arange(len(names)))
-    return pa.table({"u": pa.array(names[far]), "v": pa.array(names[label[far]])})
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
+    keys, nodes = keys[new], nodes[new]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    sizes = np.diff(np.append(first, len(keys)))
+    first, sizes = first[sizes > 1], sizes[sizes > 1]
+    if not len(first):
+        return pa.table({"group": pa.array([], pa.int64()), "node": pa.array([], pa.int64())})
+    total = np.append(np.uint64(0), np.cumsum(mix(nodes.view(np.uint64))))
+    names = mix(total[first + sizes] - total[first] + sizes.astype(np.uint64)).view(np.int64)
+    names, once = np.unique(names, return_index=True)
+    first, sizes = first[once], sizes[once]
+    small = sizes <= CHUNK
+    count = sizes[small]
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    groups, members = [np.repeat(names[small], count)], [nodes[np.repeat(first[small], count) + inside]]
+    for name, at, size in zip(names[~small].tolist(), first[~small].tolist(), sizes[~small].tolist()):
+        parts = np.array_split(nodes[at : at + size], -(-2 * size // CHUNK))
+        for i in range(len(parts)):
+            for j in range(i + 1, len(parts)):
+                both = np.concatenate([parts[i], parts[j]])
+                cell = mix(np.array([name + (i << 20) + j]).view(np.uint64)).view(np.int64)
+                groups.append(np.repeat(cell, len(both)))
+                members.append(both)
+    return pa.table({"group": pa.array(np.concatenate(groups)), "node": pa.array(np.concatenate(members))})
+
+
+def signature_of(sets: ShingleSets) -> list[bytes]:
+    """Per row: how many shingles fall into each of a power of two of buckets, a byte a bucket.
+
+    Two sets share at most the sum of the smaller counts of each bucket. Neighbouring buckets of a
+    signature add up to those of half the length. One with a count beyond a byte is left empty.
+    """
+    width = np.full(len(sets.sizes), 16)
+    while (short := width * SHINGLES_PER_BUCKET < sets.sizes).any():
+        width[short] *= 2
+    start = np.cumsum(width) - width
+    bucket = (mix(sets.tokens + np.uint64(0x2127599BF4325C37)) >> np.uint64(32)).astype(np.int64)
+    # the leading bits tell the bucket, so that halves of a signature are neighbours
+    at = start[sets.owner] + ((bucket * width[sets.owner]) >> 32)
+    counts = np.bincount(at, minlength=int(width.sum()))
+    high = np.maximum.reduceat(counts, start) > 255 if len(start) else np.zeros(0, bool)
+    flat = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return [b"" if h else flat[i : i + w] for h, i, w in zip(high.tolist(), start.tolist(), width.tolist())]
+
+
+def _signatures(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column("doc_id").is_valid())
+            seen: set[int] = set()
+            for part in steps(batch):
+                sets = ShingleSets(part.column("text"), size)
+                rows = [i for i, node in enumerate(sets.nodes.tolist()) if not (node in seen or seen.add(node))]
+                signs = signature_of(sets)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(sets.nodes[rows]),
+                        pa.array(sets.sizes[rows].astype(np.int64)),
+                        pa.array([signs[i] for i in rows], pa.binary()),
+                    ],
+                    ["node", "n", "signature"],
+                )
+
+    return run
+
+
+def _promising(percent: int):
+    """Of the members of each group, those that signatures allow to link, as edges."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.select(["group", "node", "n", "signature"]).combine_chunks()
+        group, node, n = (table.column(c).to_numpy() for c in ("group", "node", "n"))
+        order = np.lexsort((n, group))
+        group, node, n = group[order], node[order], n[order]
+        signs = table.column("signature").take(pa.array(order)).to_pylist()
+        width = np.array([len(s) for s in signs])
+        # per width: the signatures of that width, and those of twice the width halved
+        stacks, place = {}, {}
+        for w in np.unique(width[width > 0]).tolist():
+            for rows, fold in ((np.flatnonzero(width == w), False), (np.flatnonzero(width == w), True)):
+                level = w // 2 if fold else w
+                block = np.frombuffer(b"".join(signs[i] for i in rows), np.uint8).reshape(-1, w).astype(np.uint16)
+                if fold:
+                    block = block.reshape(len(rows), level, 2).sum(axis=2, dtype=np.uint16)
+                at = place.setdefault(level, np.full(len(signs), -1))
+                at[rows] = sum(len(x) for x in stacks.get(level, []))  + np.arange(len(rows))
+                stacks.setdefault(level, []).append(block)
+        stacks = {k: np.concatenate(v) for k, v in stacks.items()}
+        last = np.searchsorted(group, group, "right") - 1
+        us, vs = [], []
+        live, d = np.arange(len(group)), 0
+        while len(live):
+            d += 1
+            live = live[last[live] - live >= d]
+            u, v = live, live + d
+            near = 100 * n[u] >= percent * n[v]
+            u, v = u[near], v[near]
+            level = np.minimum(width[u], width[v])
+            good = level == 0
+            for w in np.unique(level[level > 0]).tolist():
+                own = np.flatnonzero(level == w)
+                for k in range(0, len(own), max(1, 4_000_000 // w)):
+                    some = own[k : k + max(1, 4_000_000 // w)]
+                    x, y = place[w][u[some]], place[w][v[some]]
+                    most = np.minimum(stacks[w][x], stacks[w][y]).sum(axis=1, dtype=np.int64)
+                    good[some] = most * (100 + percent) >= percent * (n[u[some]] + n[v[some]])
+            us.append(u[good])
+            vs.append(v[good])
+        u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
+        names, at = np.unique(np.concatenate([node[u], node[v]]), return_inverse=True)
+        label = local_components(len(names), at[: len(u)], at[len(u) :])
+        far = np.flatnonzero(label != np.arange(len(names)))
+        return pa.table({"u": pa.array(names[far]), "v": pa.array(names[label[far]])})
+
+    return run
 
 
 class _Tree:
@@ -333,10 +449,19 @@ def _links(docs: DataFrame, sets: DataFrame, size: int, percent: int, chunk: int
     text = doc_text(docs)
     blocks = BLOCKS_PER_PARTITION * partitions(spark)
     packs = PACKS_PER_PARTITION * partitions(spark)
-    near = (
+    groups = (
         text.mapInArrow(_send_keys(size, percent, blocks), "block int, keys binary, nodes binary")
         .groupBy("block")
-        .applyInArrow(_meet, "u long, v long")
+        .applyInArrow(_meet, "group long, node long")
+        .distinct()
+    )
+    signed = text.mapInArrow(_signatures(size), "node long, n long, signature binary")
+    signed = signed.groupBy("node").agg(F.max("n").alias("n"), F.max("signature").alias("signature"))
+    near = (
+        groups.join(signed, "node")
+        .withColumn("pack", F.pmod(F.xxhash64("group"), F.lit(packs)))
+        .groupBy("pack")
+        .applyInArrow(_promising(percent), "u long, v long")
     )
     clusters = components(near, "candidates").withColumnRenamed("component", "cluster")
     # one document stands for each node; those with more than one node in their cluster remain
@@ -404,35 +529,42 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, chunk: int =
     """
     sets = stored(shingle_sets(docs, size), "sets")
     linked = components(_links(docs, sets, size, percent, chunk), "linked")
+    own, keep_id, keep_node = (_free_name(docs, c) for c in ("set_node", "keep_id", "keep_node"))
     nodes = (
         sets.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
         .groupBy("node")
-        .agg(F.min("doc_id").alias("keep_id"))
+        .agg(F.min("doc_id").alias("smallest"))
     )
     nodes = nodes.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    firsts = nodes.groupBy("component").agg(F.min(F.struct("keep_id", F.col("node").alias("keep_node"))).alias("first"))
-    firsts = firsts.select("first.*")
-    numbered = docs.mapInArrow(_numbered(size), T.StructType([*docs.schema.fields, T.StructField(_NODE, T.LongType())]))
-    free = numbered.filter(F.col(_NODE).isNull())
-    named = numbered.filter(F.col(_NODE).isNotNull())
+    firsts = nodes.groupBy("component").agg(F.min(F.struct("smallest", "node")).alias("first"))
+    firsts = firsts.select(F.col("first.smallest").alias(keep_id), F.col("first.node").alias(keep_node))
+    schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
+    numbered = docs.mapInArrow(_numbered(size, own), schema)
+    free = numbered.filter(F.col(own).isNull())
+    named = numbered.filter(F.col(own).isNotNull())
     kept = named.join(
-        firsts, (named["doc_id"].cast("long") == firsts["keep_id"]) & (named[_NODE] == firsts["keep_node"])
-    ).drop("keep_id", "keep_node")
-    return kept.dropDuplicates(["doc_id", _NODE]).unionByName(free).drop(_NODE)
+        firsts, (named["doc_id"].cast("long") == firsts[keep_id]) & (named[own] == firsts[keep_node])
+    ).drop(keep_id, keep_node)
+    return kept.dropDuplicates(["doc_id", own]).unionByName(free).drop(own)
 
 
-_NODE = "_set_node"
+def _free_name(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def _numbered(size: int):
+def _numbered(size: int, name: str):
     """Adds each row's set number; null where the row has no id or no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in steps(batch):
-                sets = ShingleSets(part.column("text"), size)
+                sets = ShingleSets(part.column("text").cast(pa.string()), size)
                 known = (sets.sizes > 0) & part.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
                 node = pa.array(sets.nodes, mask=~known)
-                yield pa.RecordBatch.from_arrays([*part.columns, node], [*part.schema.names, _NODE])
+                yield pa.RecordBatch.from_arrays([*part.columns, node], [*part.schema.names, name])
 
     return run
