@@ -13,6 +13,9 @@ task does no harm.
 
 from __future__ import annotations
 
+import gc
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RecentlyUsed, doc_text, partitions, worker_store
+from tallyloom.llm.common import doc_text, partitions, worker_store
 from tallyloom.llm.words import steps
 from tallyloom.session import scratch_dir, ship_by_value
 
@@ -34,11 +37,18 @@ ROW_TOKENS = 2048
 #: Rows of a record batch; a part is written batch by batch.
 BATCH_ROWS = 256
 #: Distinct words in each of two generations whose ids a Python worker keeps.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 300_000
+#: Code points whose words are looked up at a time, so that they stay in the processor's cache.
+STEP_CHARS = 200_000
 
 MANIFEST = "part int, name string, docs long, tokens long"
 
 
+#: A word of Latin letters (fixed values). Nothing the tokenizers used here do parts such a word, or
+#: joins it to a full stop or comma after it.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
 class WordCodes:
     """Ids of texts by a tokenizer that never looks across white space, word by word.
 
@@ -49,44 +59,104 @@ class WordCodes:
         from tokenizers import Tokenizer
 
         self.kind = np.dtype("<u4" if wide else "<u2")
-
         self.tokenizer = Tokenizer.from_file(path)
         if not wide and self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids over 65,535 need wide files")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.codes = RecentlyUsed(KEPT_WORDS)
+        self.codes: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.mark_id, token = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark = token.content
+        spec = json.loads(self.tokenizer.to_str())
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self.folds = '"Lowercase"' in json.dumps(spec["normalizer"])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers of 16 or 32 bits."""
+        out, some, size = [], [], 0
+        # no cycles arise here, and looking for them among millions of words takes long
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            for text in texts:
+                some.append(text)
+                size += len(text)
+                if size >= STEP_CHARS:
+                    out += self._some_ids(some)
+                    some, size = [], 0
+            return out + self._some_ids(some)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _some_ids(self, texts: list[str]) -> list[bytes]:
+        if len(self.codes) > KEPT_WORDS:
+            self.codes, self.old = {}, self.codes
         # only blanks and line feeds part words here; the tokenizer sees to other white space
         words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = self.codes.missing(set().union(*words))
-        # a stop after letters, and ASCII capitals alone, do not change how the rest is encoded
-        stems = {}
-        for word in new:
-            stem = word[:-1] if word[-1:] in (".", ",") and word[:-1].isalpha() else word
-            stems[word] = stem.lower() if stem.isascii() else stem
-        self._learn(list({*stems.values(), ".", ","} - self.codes.keys()))
+        found = [list(map(self.codes.get, ws)) for ws in words]
+        new = {w for ws, cs in zip(words, found) for w, c in zip(ws, cs) if c is None}
+        self._learn({w for w in new if not self._recalled(w)})
+        codes = self.codes
+        return [b"".join([codes[w] if c is None else c for w, c in zip(ws, cs)]) for ws, cs in zip(words, found)]
+
+    def _recalled(self, word: str) -> bool:
+        """Whether the older generation has the word; if so, it is taken over."""
+        code = self.old.get(word)
+        if code is not None:
+            self.codes[word] = code
+        return code is not None
+
+    def _learn(self, words: set[str]) -> None:
+        """Encodes new words; one of letters shares its ids with that less its stop."""
+        stems, other = {}, {w for w in (".", ",") if w not in self.codes}
+        for word in words:
+            stem = word[:-1] if word[-1:] in (".", ",") else word
+            if _LETTERS.fullmatch(stem) is None:
+                other.add(word)
+            else:
+                # letters are part of no special token, so their case only matters to the normalizer
+                stems[word] = stem.lower() if self.folds and stem.isascii() else stem
+        self._whole(other)
+        codes = self.codes
+        self._letters([s for s in set(stems.values()) if s not in codes and not self._recalled(s)])
         for word, stem in stems.items():
-            code = self.codes[stem]
-            self.codes[word] = code + self.codes[word[-1]] if len(stem) < len(word) else code
-        return [b"".join(map(self.codes.__getitem__, ws)) for ws in words]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encodes many words in one call, with a special token between them as a mark."""
-        simple = [w for w in words if self.mark not in w]
-        for k in range(0, len(simple), 4096):
-            part = simple[k : k + 4096]
+            if len(stem) < len(word):
+                codes[word] = codes[stem] + codes[word[-1]]
+            elif word not in codes:
+                codes[word] = codes[stem]
+
+    def _letters(self, words: list[str]) -> None:
+        """Encodes words of letters in joint calls, parted again where a token ends a word."""
+        for k in range(0, len(words), 4096):
+            part = words[k : k + 4096]
+            (coded,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(coded.ids, self.kind)
+            ends = self.kind.itemsize * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(ends) != len(part):
+                self._whole(set(part))
+                continue
+            data, start = ids.tobytes(), 0
+            for word, end in zip(part, ends.tolist()):
+                self.codes[word] = data[start:end]
+                start = end
+
+    def _whole(self, words: set[str]) -> None:
+        """Encodes any words in joint calls, with a special token between them as a mark."""
+        joint = [w for w in words if self.mark not in w]
+        for k in range(0, len(joint), 4096):
+            part = joint[k : k + 4096]
             (coded,) = self.tokenizer.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)
             ids, size = np.array(coded.ids, self.kind), self.kind.itemsize
             cuts = size * np.flatnonzero(ids == self.mark_id)
             data, at = ids.tobytes(), [-size, *cuts.tolist(), size * len(ids)]
             for i, word in enumerate(part):
                 self.codes[word] = data[at[i] + size : at[i + 1]]
-        for word in set(words).difference(simple):
+        for word in words.difference(joint):
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             self.codes[word] = np.array(ids, self.kind).tobytes()
 

@@ -80,3 +80,15 @@ def test_rows_are_fixed_size_lists_without_copies(spark, edge_docs):
             assert tokens.base is not None and tokens.shape[1] == mask.shape[1] == 32
             assert not last[~mask].any()
             total += int(mask.sum())
+
+
+def test_word_codes_equal_the_library_on_odd_words():
+    codes, library = token_files.WordCodes(WORDS, True), tokenizers.Tokenizer.from_file(WORDS)
+    parts = ["<|EndOfText|>", "<|STARTOFTEXT|>", "<|endoftext|>", "<|startoftext|>", "İ.", "İ", "é", "É.", "é,", "ß",
+             "Don't", "'S", "STOP.", "a,b", "x1y", "...", "<|", "|>", "</w>", "ΑΣ.", "µ.", "ÿ,", "Ÿ", "\t", "\u3000", "word"]
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randrange(4))) for _ in range(rng.randrange(12))) for _ in range(500)]
+    texts += [p + sep + q for p in parts for q in parts for sep in ("", " ", "\n", " \n ")]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(c, "<u4").tolist() for c in codes.ids(texts)] == want
