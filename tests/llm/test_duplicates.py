@@ -147,3 +147,12 @@ def test_components_of_a_table(spark):
     assert parent is not None
     assert {(r.node, r.component) for r in found.collect()} == {(n, nodes[label[place[n]]]) for n in nodes}
     assert found.groupBy("node").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_one_of_each_with_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, 7, 8, 9), (2, text + " more", 7, 8, 9), (3, "other words here that stand alone", 7, 8, 9), (4, None, 7, 8, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, keep_id long, keep_node long, set_node long")
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
