@@ -79,30 +79,38 @@ def defective_snapshot(spark: SparkSession, folder: str, repeats: bool = True) -
 
 
 def batch_number() -> Column:
-    """Client batches of at most 128 consecutive accounts, some of them over the cap."""
+    """Client batches of at most 128 consecutive accounts, some over the cap, and single records."""
     return F.expr(
-        "CASE WHEN (account_id div 64) % 9 = 4 THEN concat('big-', account_id div 128) "
+        "CASE WHEN account_id % 97 = 13 THEN concat('one-', account_id) "
+        "WHEN (account_id div 64) % 9 = 4 THEN concat('big-', account_id div 128) "
         "ELSE concat('b-', account_id div 64) END"
     )
 
 
 def request_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    """(batch_id, value): batch request JSON, some items with an unknown key."""
+    """(batch_id, value): request JSON, some with a key of no contract at each of its levels."""
     a = F.col("account_id")
     extra = F.when(a % 29 == 6, F.lit("123-45")).alias("ssn")
     features = [F.col(c) for c in ACCOUNT.features]
     items = defective_snapshot(spark, folder, repeats=False).select(
         "account_id",
         batch_number().alias("batch_id"),
-        request_json("account_id", [*features, extra]).alias("item"),
+        F.concat(
+            F.when(a % 31 == 8, '{"note":1,').otherwise("{"),
+            F.substr(request_json("account_id", [*features, extra]), F.lit(2)),
+        ).alias("item"),
     )
+    listed = F.concat_ws(",", F.col("items.item"))
+    foo = F.expr("batch_id LIKE 'b-%' AND CAST(substr(batch_id, 3) AS INT) % 11 = 7")
     return items.groupBy("batch_id").agg(
         F.sort_array(F.collect_list(F.struct("account_id", "item"))).alias("items")
     ).select(
         "batch_id",
-        F.concat(
-            F.lit('{"items":['), F.concat_ws(",", F.col("items.item")), F.lit("]}")
-        ).alias("value"),
+        F.when(F.col("batch_id").startswith("one-"), listed)
+        .otherwise(
+            F.concat(F.when(foo, '{"foo":1,"items":[').otherwise('{"items":['), listed, F.lit("]}"))
+        )
+        .alias("value"),
     )
 
 

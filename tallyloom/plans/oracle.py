@@ -109,9 +109,32 @@ report AS (
       SELECT account_id FROM twice GROUP BY account_id HAVING count(*) > 1)
 )"""
 
-_BATCH = """CASE WHEN (account_id // 64) % 9 = 4 THEN 'big-' || (account_id // 128)
+_BATCH = """CASE WHEN account_id % 97 = 13 THEN 'one-' || account_id
+            WHEN (account_id // 64) % 9 = 4 THEN 'big-' || (account_id // 128)
             ELSE 'b-' || (account_id // 64) END"""
 
+# every item sent, with the errors of its batch, its values and its keys
+_SENT = f"""
+sent AS (
+  SELECT account_id, batch_id,
+    row_number() OVER (PARTITION BY batch_id ORDER BY account_id) AS i,
+    count(*) OVER (PARTITION BY batch_id) AS batch_size,
+    CASE WHEN batch_id LIKE 'b-%' AND (account_id // 64) % 11 = 7 THEN 'batch: extra keys: foo'
+         WHEN count(*) OVER (PARTITION BY batch_id) > 64 THEN 'batch: more than 64 items'
+         ELSE '' END AS batch_error,
+    concat_ws(',', CASE WHEN account_id % 31 = 8 THEN 'note' END,
+                   CASE WHEN account_id % 29 = 6 THEN 'ssn' END) AS extra_keys,
+    concat_ws('; ',
+      CASE WHEN tenure NOT BETWEEN 0 AND 120 THEN 'tenure: in_range' END,
+      CASE WHEN monthly_charges NOT BETWEEN 0 AND 10000000
+        THEN 'monthly_charges: in_range' END,
+      CASE WHEN TRY_CAST(trim(total_charges) AS DOUBLE) IS NULL
+        THEN 'total_charges: coercible' END,
+      CASE WHEN last_priority IS NULL THEN 'last_priority: not_null' END,
+      CASE WHEN segment = 'Unknown' THEN 'segment: one_of' END) AS error
+  FROM (SELECT *, {_BATCH} AS batch_id FROM bad)
+)"""
+
 _RANKED = """
 ranked AS (
   SELECT account_id, churn, segment,
@@ -535,28 +558,27 @@ ORACLES: dict[str, str] = {
         _BAD,
     ),
     "request_items": _snap(
-        f"""SELECT batch_id, CAST(i - 1 AS INTEGER) AS "index",
-              CAST(account_id AS VARCHAR) AS customer_id, error = '' AS ok, error, extra_keys
-            FROM (
-              SELECT account_id, {_BATCH} AS batch_id,
-                row_number() OVER (PARTITION BY {_BATCH} ORDER BY account_id) AS i,
-                count(*) OVER (PARTITION BY {_BATCH}) AS batch_size,
-                CASE WHEN account_id % 29 = 6 THEN 'ssn' ELSE '' END AS extra_keys,
-                concat_ws('; ',
-                  CASE WHEN tenure NOT BETWEEN 0 AND 120 THEN 'tenure: in_range' END,
-                  CASE WHEN monthly_charges NOT BETWEEN 0 AND 10000000
-                    THEN 'monthly_charges: in_range' END,
-                  CASE WHEN TRY_CAST(trim(total_charges) AS DOUBLE) IS NULL
-                    THEN 'total_charges: coercible' END,
-                  CASE WHEN last_priority IS NULL THEN 'last_priority: not_null' END,
-                  CASE WHEN segment = 'Unknown' THEN 'segment: one_of' END) AS error
-              FROM bad) WHERE batch_size <= 64""",
+        """SELECT batch_id, CAST(i - 1 AS INTEGER) AS "index",
+           CAST(account_id AS VARCHAR) AS customer_id, error = '' AS ok, error, extra_keys
+           FROM sent WHERE batch_error = ''""",
         _BAD,
+        _SENT,
     ),
     "batch_cap": _snap(
-        f"""SELECT {_BATCH} AS batch_id, CAST(count(*) AS INTEGER) AS n_items,
-            CASE WHEN count(*) > 64 THEN 'batch: more than 64 items' ELSE '' END AS batch_error
-            FROM snap GROUP BY 1"""
+        """SELECT batch_id, CAST(count(*) AS INTEGER) AS n_items, min(batch_error) AS batch_error
+           FROM sent GROUP BY 1""",
+        _BAD,
+        _SENT,
+    ),
+    "stream_request_verdicts": _snap(
+        """SELECT concat_ws('; ', nullif(batch_error, ''), nullif(error, ''),
+             CASE WHEN extra_keys <> '' THEN 'extra keys: ' || extra_keys END) AS error,
+           count(*) AS n, count(DISTINCT account_id) AS n_clients,
+           count(DISTINCT batch_id) AS n_requests,
+           count(*) FILTER (batch_error = '' AND error = '' AND extra_keys = '') AS n_timed
+           FROM sent GROUP BY 1""",
+        _BAD,
+        _SENT,
     ),
     "edge_extra_keys": """SELECT event_type, 'k' AS extra_key, count(*) AS n FROM events
         WHERE json_extract_string(props, '$.k') IS NOT NULL GROUP BY 1""",

@@ -690,7 +690,7 @@ def one_hot_slots(spark, d):
 @query
 def oof_logreg(spark, d):
     prepared = _prepared(spark, d)
-    scored = TR.out_of_fold(prepared, "ACCOUNT", "logreg", {"max_iter": 500}, k=5)
+    scored = TR.out_of_fold(prepared, "ACCOUNT", "logreg", k=5)
     return M.metric_record(scored, "label", "p", 0.5).drop("confusion")
 
 
@@ -761,7 +761,7 @@ def registry_latest(spark, d):
 
 @query
 def improvement_gate(spark, d):
-    final, parts = _final(spark, d, "logreg", {"max_iter": 500})
+    final, parts = _final(spark, d, "logreg")
     record = TR.evaluate_final(final, parts["test"], "ACCOUNT")
     base = TR.majority_baseline(parts["train"], parts["test"]).first()["f1"]
     return TR.improvement_gate(record, base)
@@ -844,23 +844,44 @@ def stream_tail_drift(spark, d):
     return spark.read.parquet(f"{base}/reports").select("feature", "psi", "status")
 
 
-@query
-def stream_score_log(spark, d):
+def _score_log(spark, d):
+    """All requests through the scoring stream: its log and what it refused."""
     base = scratch_dir(spark, "stream-score")
     X.request_bodies(spark, d).select("value").write.text(f"{base}/requests")
-    final, _ = _final(spark, d, "logreg", {"max_iter": 500})
+    final, _ = _final(spark, d, "logreg")
     start_score_log(
         spark, f"{base}/requests", final, "ACCOUNT", "v1", f"{base}/log", f"{base}/checkpoint"
     ).awaitTermination()
     schema = prediction_log.log_schema(prediction_log.feature_struct(ACCOUNT))
     log = prediction_log.read_log(spark, f"{base}/log", schema)
+    return log, spark.read.parquet(f"{base}/log-refused")
+
+
+@query
+def stream_score_log(spark, d):
+    log, refused = _score_log(spark, d)
     # refused items and batches have no prediction
-    refused = spark.read.parquet(f"{base}/log-refused").select(
+    without = refused.select(
         F.lit(None).cast("string").alias("prediction"),
         F.lit("v1").alias("model_version"),
         "customer_id_hash",
     )
-    rows = log.select(*refused.columns).unionByName(refused)
+    rows = log.select(*without.columns).unionByName(without)
     return rows.groupBy("prediction", "model_version").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("customer_id_hash").alias("n_clients")
     )
+
+
+@query
+def stream_request_verdicts(spark, d):
+    """Items, clients and requests by error; the accepted ones, with a latency, have none."""
+    log, refused = _score_log(spark, d)
+    ids = ["customer_id_hash", "request_id"]
+    accepted = log.select(F.lit("").alias("error"), *ids, (F.col("inference_ms") > 0).alias("timed"))
+    rows = accepted.unionByName(refused.select("error", *ids, F.lit(False).alias("timed")))
+    return rows.groupBy("error").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("customer_id_hash").alias("n_clients"),
+        F.countDistinct("request_id").alias("n_requests"),
+        F.count_if("timed").alias("n_timed"),
+    )

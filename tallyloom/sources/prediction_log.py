@@ -86,7 +86,9 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     parsed = F.from_json(
         "value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    lines = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    # writers may add folders below the day
+    files = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = files.filter(F.length(F.trim("value")) > 0)
     return (
         lines.select(parsed.alias("record"))
         .filter(F.col("record").isNotNull() & F.col(f"record.{CORRUPT}").isNull())

@@ -119,12 +119,28 @@ def test_request_batches(spark, accounts):
         (3, "not json"),
         (4, '{"items":[%s]}' % ",".join([one] * 65)),
         (5, '{"items":[%s]}' % ",".join([one] * 64)),
+        (6, one),
+        (7, '{"foo":1,"items":[%s]}' % one),
+        (8, '{"items":[%s,null,{"features":5}]}' % one.replace('{"customer', '{"ssn":"1","customer')),
+        (9, "[1]"),
+        (10, None),
     ]
     parsed = parse_batches(spark.createDataFrame(bodies, "b int, body string"), "body")
     errors = {r["b"]: r["batch_error"] for r in parsed.collect()}
     assert errors[1] is None and errors[5] is None
     assert errors[2] == "batch: no items" and errors[3] == "batch: not parsable"
     assert errors[4] == "batch: more than 64 items"
+    assert errors[6] is None and errors[8] is None
+    assert errors[7] == "batch: extra keys: foo"
+    assert errors[9] == errors[10] == "batch: not parsable"
+    every = flatten_items(parsed, TELCO, ["b"], refused=True).collect()
+    assert sorted(r["b"] for r in every if r["index"] is None) == [2, 3, 9, 10]
+    assert sum(r["b"] == 4 for r in every) == 65
+    six = [(r["customer_id"], r["extra_keys"]) for r in every if r["b"] == 6]
+    assert six == [("TEST-0000", [])]
+    eight = sorted((r["index"], r["customer_id"], r["extra_keys"]) for r in every if r["b"] == 8)
+    assert eight[0] == (0, "TEST-0000", ["ssn"])
+    assert [e[1:] for e in eight[1:]] == [(None, []), (None, [])]
     items = flatten_items(parsed, TELCO, ["b"]).filter("b = 1").orderBy("index").collect()
     assert [r["extra_keys"] for r in items] == [[], ["ssn"]]
     assert items[0]["TotalCharges"] == "2340" and items[1]["customer_id"] == "TEST-0000"

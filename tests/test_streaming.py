@@ -115,11 +115,62 @@ def test_scores_requests_into_the_log(spark, accounts, tmp_path):
     rows = prediction_log.read_log(spark, f"{tmp_path}/log", schema).collect()
     assert len(rows) == 2
     assert len({r["request_id"] for r in rows}) == 2
+    assert all(r["inference_ms"] > 0 for r in rows)
+    refused = spark.read.parquet(f"{tmp_path}/log-refused").collect()
+    assert sorted(r["index"] for r in refused if r["body"] is None) == [1, 2, 3]
+    assert [r["body"] for r in refused if r["index"] is None] == ["broken"]
+    # items of one body share its id, in the log and among the refused
+    assert len({r["request_id"] for r in refused} | {r["request_id"] for r in rows}) == 3
     assert {r["customer_id_hash"] for r in rows} == {rows[0]["customer_id_hash"]}
     assert "TEST-0000" not in str(rows)
     assert all(0 <= r["churn_probability"] <= 1 for r in rows)
 
 
+def test_a_repeated_batch_writes_its_requests_once(spark, accounts, tmp_path, monkeypatch):
+    from tallyloom.streaming import score_log
+
+    rows = accounts(*[{"Churn": "Yes" if i % 2 else "No"} for i in range(20)])
+    train = rows.withColumn("label", (F.col("Churn") == "Yes").cast("int"))
+    facts = training_facts(train)
+    model = full_pipeline("TELCO", build_estimator("logreg", {"max_iter": 2}, facts)).fit(
+        train.withColumn("weight", F.lit(1.0))
+    )
+    final = T.FinalModel(model, "logreg", {}, 0.5)
+    item = request_json("customerID", [F.col(c) for c in TELCO.features])
+    good, bad = [r[0] for r in accounts({}, {"tenure": "-1"}).select(item).collect()]
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"items":[%s,%s]}\n' % (good, bad))
+    schema = prediction_log.log_schema(prediction_log.feature_struct(TELCO))
+
+    def go():
+        start_score_log(
+            spark, str(folder), final, "TELCO", "1", f"{tmp_path}/log", f"{tmp_path}/cp"
+        ).awaitTermination()
+
+    def ids():
+        log = prediction_log.read_log_or_empty(spark, f"{tmp_path}/log", schema)
+        return [r["request_id"] for r in log.collect()]
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    # the log is written, then the batch fails before the refused rows are
+    with monkeypatch.context() as m:
+        refused = score_log._refused_rows
+        m.setattr(score_log, "_refused_rows", lambda *a: refused(*a).withColumn("x", F.raise_error(F.lit("lost"))))
+        with pytest.raises(Exception):
+            go()
+    first = ids()
+    assert len(first) == 1
+    # nothing is scored again
+    monkeypatch.setattr(score_log, "Observation", lost)
+    go()
+    table = spark.read.parquet(f"{tmp_path}/log-refused").collect()
+    assert ids() == first and [r["request_id"] for r in table] == first
+    assert [r["index"] for r in table] == [1]
+
+
 @pytest.mark.parametrize("limit", [1])
 def test_single_key_burst(spark, tmp_path, limit):
     schema = "k string, us long, id long"
