@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.numeric import (
@@ -159,21 +159,29 @@ def pr_auc(ranked: DataFrame) -> DataFrame:
 
 
 def roc_points(ranked: DataFrame) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score; the start point (inf, 0, 0) is implied."""
-    return ranked.select(
+    """(threshold, fpr, tpr) per distinct score, and the start (0, 0), whose threshold is NULL."""
+    points = ranked.select(
         F.col("score").alias("threshold"),
         ratio_or_null(F.col("fp"), F.col("neg_all")).alias("fpr"),
         ratio_or_null(F.col("tp"), F.col("pos_all")).alias("tpr"),
     )
+    return points.unionByName(_end_point(ranked.sparkSession, points, fpr=0.0, tpr=0.0))
+
+
+def _end_point(spark: SparkSession, points: DataFrame, **values: float) -> DataFrame:
+    """The point of a curve that lies above every score."""
+    row = [F.lit(values.get(c)).cast("double").alias(c) for c in points.columns]
+    return spark.range(1).select(*row)
 
 
 def pr_points(ranked: DataFrame) -> DataFrame:
-    """(threshold, precision, recall) per distinct score."""
-    return ranked.select(
+    """(threshold, precision, recall) per distinct score, and (1, 0), whose threshold is NULL."""
+    points = ranked.select(
         F.col("score").alias("threshold"),
         _precision(F.col("tp"), F.col("fp")).alias("precision"),
         ratio_or_null(F.col("tp"), F.col("pos_all")).alias("recall"),
     )
+    return points.unionByName(_end_point(ranked.sparkSession, points, precision=1.0, recall=0.0))
 
 
 def threshold_sweep(
@@ -285,7 +293,7 @@ def calibration(df: DataFrame, y: str, p: str, bins: int = 10) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, y: str, p: str, bins: int = 40) -> DataFrame:
-    """Equal-width density histogram per class over that class's own score range."""
+    """Equal-width density histogram per class over that class's own score range, empty bins too."""
     scored = df.select(F.col(y).alias("y"), F.col(p).alias("p")).filter(present(F.col("p")))
     ranges = scored.groupBy("y").agg(
         F.min("p").alias("lo"), F.max("p").alias("hi"), F.count(F.lit(1)).alias("n_class")
@@ -299,23 +307,23 @@ def score_histogram(df: DataFrame, y: str, p: str, bins: int = 40) -> DataFrame:
     ).withColumn("width", (F.col("hi") - F.col("lo")) / bins)
     # One row per class.
     slot = F.least(F.floor((F.col("p") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
-    return (
+    counts = (
         scored.join(F.broadcast(ranges), "y")
         .groupBy("y", slot.cast("int").alias("bin"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.first("lo").alias("lo_"),
-            F.first("width").alias("w_"),
-            F.first("n_class").alias("c_"),
-        )
-        .select(
-            "y",
-            "bin",
-            (F.col("lo_") + F.col("bin") * F.col("w_")).alias("left_edge"),
-            "n",
-            (F.col("n") / (F.col("c_") * F.col("w_"))).alias("density"),
-        )
+        .agg(F.count(F.lit(1)).alias("counted"))
+    )
+    every = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    filled = every.join(counts, ["y", "bin"], "left").withColumn(
+        "n", F.coalesce("counted", F.lit(0).cast("bigint"))
     )
+    return filled.select(
+        "y",
+        "bin",
+        (F.col("lo") + F.col("bin") * F.col("width")).alias("left_edge"),
+        "n",
+        (F.col("n") / (F.col("n_class") * F.col("width"))).alias("density"),
+    )
+
 
 
 def fairness_slices(

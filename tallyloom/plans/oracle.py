@@ -666,8 +666,10 @@ ORACLES: dict[str, str] = {
     ),
     "split_disjoint": _snap(
         """SELECT count(*) AS n_overlapping FROM (
-             SELECT account_id FROM split GROUP BY account_id
-             HAVING count(DISTINCT split) > 1)""",
+             SELECT account_id FROM (
+               SELECT account_id, split FROM split
+               UNION ALL SELECT account_id, 'test' FROM split WHERE account_id % 83 = 9)
+             GROUP BY account_id HAVING count(DISTINCT split) > 1)""",
         _RANKED,
     ),
     "split_membership": _snap(
@@ -728,13 +730,15 @@ ORACLES: dict[str, str] = {
         _SCORED,
         _CURVE,
         body="""SELECT round(p, 6) AS threshold, round(fp::DOUBLE / nn, 6) AS fpr,
-                round(tp::DOUBLE / np, 6) AS tpr FROM curve""",
+                round(tp::DOUBLE / np, 6) AS tpr FROM curve
+                UNION ALL SELECT NULL, 0.0::DOUBLE, 0.0::DOUBLE""",
     ),
     "pr_points": _with(
         _SCORED,
         _CURVE,
         body="""SELECT round(p, 6) AS threshold, round(prec, 6) AS precision,
-                round(recall, 6) AS recall FROM pr""",
+                round(recall, 6) AS recall FROM pr
+                UNION ALL SELECT NULL, 1.0::DOUBLE, 0.0::DOUBLE""",
     ),
     "calibration": _with(
         _SCORED,
@@ -748,12 +752,12 @@ ORACLES: dict[str, str] = {
         _SCORED,
         "rng AS (SELECT y, min(p) AS lo, (max(p) - min(p)) / 40 AS w, count(*) AS nc "
         "FROM scored GROUP BY y)",
-        body="""SELECT y, bin, round(lo + bin * w, 9) AS left_edge, count(*) AS n,
-                round(count(*) / (nc * w), 6) AS density
-                FROM (SELECT s.y, lo, w, nc,
-                        CAST(least(floor((p - lo) / w), 39) AS INTEGER) AS bin
-                      FROM scored s JOIN rng r ON r.y = s.y)
-                GROUP BY y, bin, lo, w, nc""",
+        """hit AS (SELECT s.y, CAST(least(floor((p - lo) / w), 39) AS INTEGER) AS bin,
+             count(*) AS n FROM scored s JOIN rng r ON r.y = s.y GROUP BY 1, 2)""",
+        body="""SELECT rng.y, CAST(b.bin AS INTEGER) AS bin, round(lo + b.bin * w, 9) AS left_edge,
+                coalesce(n, 0) AS n, round(coalesce(n, 0) / (nc * w), 6) AS density
+                FROM rng CROSS JOIN range(40) AS b(bin)
+                LEFT JOIN hit ON hit.y = rng.y AND hit.bin = b.bin""",
     ),
     "metric_record": _with(
         _SCORED,
@@ -847,6 +851,14 @@ ORACLES: dict[str, str] = {
         count(*) AS n FROM events GROUP BY 1""",
     "quota_flags_by_user": _quota("user_id", 86_400, 2),
     "quota_flags_by_type": _quota("event_type", 3600, 5),
+    "table_digests": """WITH h AS (
+          SELECT event_type, md5(concat_ws(',', length(event_id::VARCHAR) || ':' || event_id,
+            coalesce(length(user_id::VARCHAR) || ':' || user_id, '-'),
+            coalesce(length(props::VARCHAR) || ':' || props, '-'))) AS r FROM events),
+        s AS (SELECT event_type, count(*) AS n_rows,
+                sum(('0x' || substr(r, 1, 15))::BIGINT::HUGEINT) AS s0,
+                sum(('0x' || substr(r, 16, 15))::BIGINT::HUGEINT) AS s1 FROM h GROUP BY 1)
+        SELECT event_type, n_rows, sha256(concat_ws(':', n_rows, s0, s1)) AS digest FROM s""",
     "request_rollup_daily": """SELECT strftime(ts, '%Y-%m-%d') AS window_start,
         event_type AS path, count(*) AS n,
         round(count(*) FILTER (value > 100)::DOUBLE / count(*), 6) AS error_share,

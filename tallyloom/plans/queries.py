@@ -17,6 +17,7 @@ from tallyloom.operators import profiling as P
 from tallyloom.operators import splitting as S
 from tallyloom.operators.cleaning import clean, engineer, features_and_label, with_label
 from tallyloom.operators.quota import quota_flags
+from tallyloom.operators.digest import table_digest
 from tallyloom.operators.rollup import request_rollup
 from tallyloom.plans import datasets as X
 from tallyloom.plans import training as TR
@@ -302,7 +303,12 @@ def split_balance(spark, d):
 
 @query
 def split_disjoint(spark, d):
-    return S.split_overlap(_split(spark, d), KEY).agg(F.count(F.lit(1)).alias("n_overlapping"))
+    """Splits kept apart, where some accounts were put into the test split as well."""
+    split = stored(_split(spark, d).select(KEY, "split"), "split")
+    torn = {s: split.filter(F.col("split") == s) for s in ("train", "validation", "test")}
+    torn["test"] = torn["test"].unionByName(split.filter(F.col(KEY) % 83 == 9))
+    overlap = S.split_overlap(S.union_assignments(torn, KEY), KEY)
+    return overlap.agg(F.count(F.lit(1)).alias("n_overlapping"))
 
 
 @query
@@ -617,6 +623,13 @@ def request_rollup_daily(spark, d):
     ).select("window_start", "path", "n", _r("error_share"), "latency_p50", "latency_p95")
 
 
+@query
+def table_digests(spark, d):
+    return table_digest(
+        table(spark, d, "events"), ["event_id", "user_id", "props"], ["event_type"]
+    )
+
+
 @query
 def file_checksums(spark, d):
     """Files against a manifest with one changed pin, one file it lacks and one that is gone."""
@@ -742,12 +755,15 @@ def registry_latest(spark, d):
     folder = scratch_dir(spark, "models")
     final, parts = _final(spark, d)
     record = TR.evaluate_final(final, parts["test"], "ACCOUNT").first().asDict(recursive=True)
+    used = [KEY, *ACCOUNT.features, LABEL]
+    meta = registry.provenance(parts, used, folds=5, seed=S.SEED)
     for version in ("1.0.0", "1.0.1"):
-        registry.save_model(spark, folder, final, version, list(ACCOUNT.features), record)
+        registry.save_model(spark, folder, final, version, list(ACCOUNT.features), record, meta)
     loaded, row = registry.load_model(spark, folder)
     scored = TR._scored(loaded.model, parts["test"], KEY)
     n = M.confusion_metrics(scored, "label", "p", loaded.threshold).select("f1").first()["f1"]
-    return registry.regression_gate(registry.versions(spark, folder)).select(
+    digest = registry.provenance(parts, used, folds=5, seed=S.SEED)["data_digest"]
+    return registry.regression_gate(registry.versions(spark, folder), digest=digest).select(
         "version",
         "estimator",
         "threshold",

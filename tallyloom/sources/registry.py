@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 import platform
 import uuid
+from functools import reduce
+from operator import and_
 from typing import Any
 
 import pyspark
@@ -12,6 +14,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.digest import table_digest
 from tallyloom.plans.training import GATE_AUC, GATE_F1, FinalModel
 
 _TABLE = "versions"
@@ -98,9 +101,43 @@ def load_model(
     )
 
 
-def regression_gate(rows: DataFrame, f1: float = GATE_F1, auc: float = GATE_AUC) -> DataFrame:
-    """Versions with their verdict: quality bounds met and provenance present."""
-    complete = (
+# What the ``meta`` of a registered model has to name.
+PROVENANCE = ("data_digest", "data_rows", "split_sizes", "cv_folds", "random_state")
+
+
+def provenance(
+    parts: dict[str, DataFrame], columns: list[str], folds: int, seed: int
+) -> dict[str, Any]:
+    """What a model was trained and judged on: digest and rows of the data, splits, folds.
+
+    One row for each split comes to the driver. The digest depends on the rows of every split,
+    not on their order.
+    """
+    named = [df.select(*columns).withColumn("split_", F.lit(n)) for n, df in parts.items()]
+    rows = reduce(DataFrame.unionByName, named)
+    whole = table_digest(rows).first()
+    sizes = {r["split_"]: r["count"] for r in rows.groupBy("split_").count().collect()}
+    return {
+        "data_digest": whole["digest"],
+        "data_rows": whole["n_rows"],
+        "split_sizes": {n: sizes.get(n, 0) for n in parts},
+        "cv_folds": folds,
+        "random_state": seed,
+    }
+
+
+def regression_gate(
+    rows: DataFrame, f1: float = GATE_F1, auc: float = GATE_AUC, digest: str | None = None
+) -> DataFrame:
+    """Versions with their verdict: quality bounds met and provenance present.
+
+    With ``digest`` a version also has to come from the data of that digest.
+    """
+    named = lambda key: F.get_json_object("meta", f"$.{key}")
+    complete = reduce(and_, [named(k).isNotNull() for k in PROVENANCE])
+    if digest is not None:
+        complete = complete & (named("data_digest") == digest)
+    complete = complete & (
         F.col("trained_at").isNotNull()
         & (F.size("libraries") > 0)
         & F.col("params").isNotNull()

@@ -88,7 +88,8 @@ def test_histogram_density_sums_to_one_per_class(spark):
         width = (max(ps) - min(ps)) / 40
         assert sum(r["density"] * width for r in rows if r["y"] == y) == pytest.approx(1.0)
     constant = M.score_histogram(scored(spark, [(0.3, 1)] * 3), "y", "p", 4).collect()
-    assert [(r["bin"], r["n"]) for r in constant] == [(2, 3)]
+    assert sorted((r["bin"], r["n"]) for r in constant) == [(0, 0), (1, 0), (2, 3), (3, 0)]
+    assert len(rows) == 80
 
 
 def test_fairness_has_null_rates_without_class(spark):

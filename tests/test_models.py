@@ -141,9 +141,15 @@ def test_registry_round_trip_pin_and_gate(spark, churners, final, tmp_path):
     folder = str(tmp_path / "models")
     test = churners.filter("split = 'test'")
     metrics = T.evaluate_final(final, test, "TELCO").first().asDict(recursive=True)
-    first = registry.save_model(spark, folder, final, "1.0.0", list(TELCO.features), metrics)
+    parts = {s: churners.filter(F.col("split") == s) for s in ("train", "test", "none")}
+    meta = registry.provenance(parts, ["customerID", "Churn"], folds=5, seed=42)
+    assert meta["split_sizes"] == {s: df.count() for s, df in parts.items()}
+    save = lambda v, *rest: registry.save_model(spark, folder, final, v, list(TELCO.features), *rest)
+    save("0.8.0", metrics)
+    save("0.9.0", metrics, {k: v for k, v in meta.items() if k != "cv_folds"})
+    first = save("1.0.0", metrics, meta)
     weak = {**metrics, "f1": 0.1}
-    second = registry.save_model(spark, folder, final, "1.1.0", list(TELCO.features), weak)
+    second = save("1.1.0", weak, meta)
     assert registry.resolve(spark, folder)["path"] == second
     assert registry.resolve(spark, folder, version="1.0.0")["path"] == first
     loaded, row = registry.load_model(spark, folder, path=first)
@@ -155,7 +161,10 @@ def test_registry_round_trip_pin_and_gate(spark, churners, final, tmp_path):
         r["version"]: r["passed"]
         for r in registry.regression_gate(registry.versions(spark, folder)).collect()
     }
-    assert verdicts == {"1.0.0": True, "1.1.0": False}
+    assert verdicts == {"0.8.0": False, "0.9.0": False, "1.0.0": True, "1.1.0": False}
+    rows = registry.versions(spark, folder)
+    for digest, passed in ((meta["data_digest"], 1), ("other", 0)):
+        assert registry.regression_gate(rows, digest=digest).filter("passed").count() == passed
     with pytest.raises(registry.NoModelError):
         registry.resolve(spark, folder, version="9")
 
