@@ -46,7 +46,7 @@ class TestSuffixes:
     high: np.ndarray
     item: np.ndarray
     place: np.ndarray
-    names: list[str]
+    names: list[str | None]
     shortest: int
 
 
@@ -67,7 +67,7 @@ def _separated(words: Words, ranks: np.ndarray) -> np.ndarray:
     return out
 
 
-def prepare_items(names: list[str], texts: list[str | None], window: int = WINDOW) -> TestSuffixes | None:
+def prepare_items(names: list[str | None], texts: list[str | None], window: int = WINDOW) -> TestSuffixes | None:
     """The suffixes of the items that start a window; None if no item has a word."""
     words = Words(pa.array(texts, pa.string()), alphanumeric(), lower=True)
     if not len(words.owner):
@@ -180,13 +180,13 @@ def _with_matches(part: pa.RecordBatch, counts: np.ndarray, rows: list[list[dict
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[str], list[str]]]:
-    """The items in blocks of about ``block_bytes`` of text, each small enough for the driver.
+def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list[str | None], list[str]]]:
+    """The distinct items in blocks of about ``block_bytes`` of text, each small enough for the driver.
 
     One item larger than that is a block of its own.
     """
     parts = items.select(F.col("item_id").cast("string").alias("name"), F.col("text").cast("string").alias("text"))
-    parts = parts.filter("name IS NOT NULL AND text IS NOT NULL")
+    parts = parts.filter("text IS NOT NULL").distinct()
     total = parts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-total // block_bytes)
     for b in range(blocks):
@@ -202,8 +202,8 @@ def verbatim_matches(
     """Every document with ``n_words`` and its longest verbatim ``matches`` with benchmark items.
 
     A match covers at least ``window`` words, or all words of a shorter item. Null and empty texts
-    have no words and no matches; items without id or words find nothing; an id on several item
-    rows is one item. Repeated documents are judged alike. The documents are read once per block
+    have no words and no matches; items without words find nothing; matches of an item without id
+    have a null ``item``; an id on several item rows is one item. Repeated documents are judged alike. The documents are read once per block
     of the benchmark and never shuffled.
     """
     found = doc_text(docs)
@@ -238,7 +238,7 @@ def _hit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lengths = np.array([m["length"] for m in matches], np.int64)
             hits.append(int(covered(starts, lengths, n).sum()) if matches else 0)
             longest.append(int(lengths.max()) if matches else 0)
-            items.append(sorted({m["item"] for m in matches}))
+            items.append(sorted({m["item"] for m in matches} - {None}))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -252,7 +252,11 @@ def _hit_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: words, words inside matches, the longest match and the items matched."""
+    """Per document: words, words inside matches, the longest match and the items matched.
+
+    An item without id counts in the words and is not in the list. Nulls, empty and repeated
+    rows are as in ``verbatim_matches``.
+    """
     found = verbatim_matches(docs, items, window).select("doc_id", "n_words", "matches")
     return found.mapInArrow(
         _hit_counts, "doc_id long, n_words long, n_hit long, longest long, items array<string>"
@@ -260,7 +264,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents, with all their columns, in which no benchmark window occurs."""
+    """The documents, with all their columns, in which no benchmark window occurs.
+
+    Null and empty texts stay, repeated documents are judged alike, items without id count, and
+    without items every document stays.
+    """
     kept = docs
     for names, texts in _blocks(items, BLOCK_BYTES):
         tests = prepare_items(names, texts, window)

@@ -69,7 +69,7 @@ def plain_contamination(docs, items, window=10):
                 if found:
                     hit |= set(range(i, i + size))
                     names |= found
-        out.append((len(words), len(hit), sorted(names)))
+        out.append((len(words), len(hit), sorted(names - {"None"})))
     return out
 
 
@@ -79,7 +79,9 @@ def test_contamination_equals_brute_force(spark, edge_docs, block_bytes):
     words = [t for _, t in texts if t and len(t.split()) > 60]
     items = [(i, " ".join(w.split()[5 * i : 5 * i + 14])) for i, w in enumerate(words[:9])]
     items += [(50, "One, TWO three!"), (51, ""), (52, None), (53, "nowhere to be found at all"), (1, "same line again")]
-    table = spark.createDataFrame([*items, (None, "one")], "item_id long, text string")
+    # an item without id counts, an item that comes twice is one
+    items += [(None, "one"), (50, "One, TWO three!"), (None, "one")]
+    table = spark.createDataFrame(items, "item_id long, text string")
     found = decontaminate.verbatim_matches(edge_docs, table, block_bytes=block_bytes)
     rows = found.select("doc_id", "text", "n_words", "matches").collect()
     got = sorted(
@@ -87,7 +89,7 @@ def test_contamination_equals_brute_force(spark, edge_docs, block_bytes):
             repr((r.doc_id, r.text)),
             r.n_words,
             len({k for m in r.matches for k in range(m.start, m.start + m.length)}),
-            sorted({m["item"] for m in r.matches}),
+            sorted({m["item"] for m in r.matches} - {None}),
         )
         for r in rows
     )
@@ -96,6 +98,8 @@ def test_contamination_equals_brute_force(spark, edge_docs, block_bytes):
     kept = decontaminate.drop_contaminated(edge_docs, table)
     assert kept.columns == edge_docs.columns
     assert kept.count() == sum(not e[1] for e in expected)
+    counts = decontaminate.contamination(edge_docs, table).select("n_words", "n_hit", "items").collect()
+    assert sorted(map(repr, map(tuple, counts))) == sorted(map(repr, expected))
 
 
 def test_longest_match_and_places(spark):
