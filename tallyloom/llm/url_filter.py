@@ -176,6 +176,5 @@ def url_verdicts(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     cut = _best_cut(scored)
     judged = scored.filter("decided IS NULL").select("shape", "score")
     verdict = F.coalesce("decided", F.when(F.col("score") >= cut, "allow").otherwise("block"))
-    return parsed.withColumn("key", F.when(F.col("decided").isNull(), F.col("shape"))).join(
-        judged.withColumnRenamed("shape", "key"), "key", "left"
-    ).select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
+    # a URL that a rule decides finds no score; with its URL as key it is not one of many NULL keys
+    return parsed.join(judged, "shape", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
