@@ -79,11 +79,67 @@ def test_rules_on_edge_rows(spark, edge_docs, no_docs, some_labels):
     assert quality_rules.quality_verdicts(no_docs, some_labels).count() == 0
 
 
-def test_cutoffs_keep_their_promise(spark):
-    docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
-    measured = quality_rules.with_measures(quality_rules.text_counts(docs))
-    for c in quality_rules.safe_cutoffs(measured, labels).collect():
-        assert c.rejected < quality_rules.RATE / len(quality_rules.RULES) * c.n
+def plain_chance(k, n, rate):
+    """Of a binomial count of k or less, in whole numbers and fractions."""
+    from fractions import Fraction
+    from math import comb
+
+    p = Fraction(rate).limit_denominator(10_000)
+    return float(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
+
+
+def test_cutoffs_are_those_that_pass_exact_tests(spark):
+    from zlib import crc32
+
+    rules = quality_rules.RULES
+    rate = quality_rules.RATE / len(rules)
+    level = quality_rules.LEVEL / (len(quality_rules.STRATA) * sum(map(len, rules.values())))
+    held = lambda i: crc32(str(i).encode()) % 5 == 0
+    sizes = {0: 1000, 1: 700, 2: 1600}  # no cutoff can pass in stratum 1, and stratum 3 is empty
+    most = {s: max((k for k in range(9) if plain_chance(k, n, rate) <= level), default=-1) for s, n in sizes.items()}
+    assert most[0] >= 0 and most[1] == -1 and most[2] > most[0]
+    rows, i = [], 0
+    for s, n in sizes.items():
+        for j in range(n):
+            while held(i):
+                i += 1
+            k = max(most[s], 0)
+            rows.append((i, s, False, {
+                "symbols": 1000 if j <= k else 0,  # one too many at every cutoff
+                "dup_lines": 200,  # equal to a cutoff, which does not reject
+                "repeats": 21 if j < k else 20,  # as many as may be at the lowest
+                "word_length": 81 if j < k else 71 if j == k else 70,  # one too many at the lowest
+                "capitals": 0,
+            }))
+            i += 1
+    good = [r[0] for r in rows]
+    worst = dict.fromkeys(rules, 10_000)
+    bad = range(i, i + 900)
+    rows += [(b, s, False, worst) for b in bad for s in sizes]
+    base, several = i + 1000, i + 1001
+    rows += [(good[0], 0, True, worst)] * 50 + [(several, 0, False, worst)] * 50 + [(None, 0, False, worst)] * 50
+    labels = [(g, 1) for g in good] + [(b, 0) for b in bad if b % 2] + [(b, 1) for b in bad if held(b)]
+    labels += [(several, 1), (several, 0), (None, 1), (base, None)]
+    measured = spark.createDataFrame(
+        [(d, s, f, *[m[r] for r in rules]) for d, s, f, m in rows],
+        "doc_id long, stratum int, base_failed boolean, " + ", ".join(f"{r} long" for r in rules),
+    )
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {(c.stratum, c.rule): (c.cutoff, c.n, c.rejected) for c in quality_rules.safe_cutoffs(measured, table).collect()}
+    want = {}
+    for s, n in sizes.items():
+        mine = [m for d, t, f, m in rows if t == s and not f and d in set(good)]
+        assert len(mine) == n
+        for rule, cutoffs in rules.items():
+            for c in cutoffs:
+                k = sum(m[rule] > c for m in mine)
+                if plain_chance(k, n, rate) <= level:
+                    want[s, rule] = (c, n, k)
+                    break
+    assert got == want
+    assert {r for s, r in want if s == 0} == {"dup_lines", "repeats", "word_length", "capitals"}
+    assert want[0, "repeats"][0] == 20 and want[0, "word_length"][0] == 80 and want[0, "dup_lines"][0] == 200
+    assert quality_rules.safe_cutoffs(measured, table.filter("false")).count() == 0
 
 
 def test_url_rules(spark):
