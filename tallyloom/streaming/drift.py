@@ -10,12 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.operators.drift import feature_cells, psi_of_cells, status_of
 
 
+_CELLS = (
+    "window_start timestamp, window_end timestamp, feature string, bin int, category string, n bigint"
+)
+
+
 def windowed_cells(
     events: DataFrame,
     event_time: str,
@@ -54,10 +60,18 @@ def start_cell_updates(cells: DataFrame, path: str, checkpoint: str):
 
 
 def latest_cells(spark: SparkSession, path: str) -> DataFrame:
-    """The newest count of every cell, of closed and open windows; counts only grow."""
+    """The newest count of every cell, of closed and open windows; counts only grow.
+
+    A stream that has had no rows has written nothing and gives no cells.
+    """
+    try:
+        written = spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        written = spark.createDataFrame([], _CELLS)
     return (
-        spark.read.parquet(path)
-        .groupBy("window_start", "window_end", "feature", "bin", "category")
+        written.groupBy("window_start", "window_end", "feature", "bin", "category")
         .agg(F.max("n").alias("n"))
     )
 

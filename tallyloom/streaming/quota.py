@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tallyloom.operators.quota import LIMIT_PER_WINDOW, WINDOW_SECONDS
+from tallyloom.operators.quota import LIMIT_PER_WINDOW, UNKNOWN_KEY, WINDOW_SECONDS
 from tallyloom.session import ship_by_value
 
 _OUT = (
@@ -78,20 +78,32 @@ def stream_quota_flags(
 
     An event that arrives out of order counts in its key's open window. Events more than
     ``delay`` (by default one window) behind the newest event seen are dropped, because the
-    state they belong to may be gone. Only one trigger's rows of a key are held at a time;
+    state they belong to may be gone. As in the batch form, events without a key share one key, and
+    those without a time are in no window and not allowed. Only one trigger's rows of a key are held at a time;
     bound them with the source's per-trigger limits.
     """
     delay = delay or f"{window_seconds} seconds"
     slim = events.select(
-        F.col(key).cast("string").alias("key"),
+        F.coalesce(F.col(key).cast("string"), F.lit(UNKNOWN_KEY)).alias("key"),
         F.col(micros).cast("bigint").alias("ts_us"),
         F.col(event_id).cast("bigint").alias("event_id"),
         F.timestamp_micros(F.col(micros)).alias("event_time"),
-    ).withWatermark("event_time", delay)
-    return slim.groupBy("key").applyInPandasWithState(
+    )
+    absent = F.lit(None).cast("bigint")
+    untimed = slim.filter("ts_us IS NULL").select(
+        "key",
+        "event_id",
+        "ts_us",
+        absent.alias("window_start_us"),
+        absent.alias("n_in_window"),
+        F.lit(False).alias("allowed"),
+    )
+    timed = slim.filter("ts_us IS NOT NULL").withWatermark("event_time", delay)
+    flagged = timed.groupBy("key").applyInPandasWithState(
         _step(limit, int(window_seconds * 1_000_000)),
         outputStructType=_OUT,
         stateStructType=_STATE,
         outputMode="append",
         timeoutConf=GroupStateTimeout.EventTimeTimeout,
     )
+    return flagged.unionByName(untimed)

@@ -11,6 +11,7 @@ from tallyloom.plans.preprocess import full_pipeline
 from tallyloom.plans.estimators import build_estimator, training_facts
 from tallyloom.sources import prediction_log
 from tallyloom.sources.requests import request_json
+from tallyloom.operators.quota import quota_flags
 from tallyloom.spec import TELCO
 from tallyloom.streaming.drift import psi_from_cells, windowed_cells
 from tallyloom.streaming.quota import stream_quota_flags
@@ -183,6 +184,28 @@ def test_single_key_burst(spark, tmp_path, limit):
     assert sum(r["allowed"] for r in rows) == 1
 
 
+def test_quota_keeps_events_without_key_or_time(spark, tmp_path):
+    rows = [(None, S, 1), ("a", None, 2), (None, 2 * S, 3), (None, None, 4), ("a", S, 5)]
+    folder, schema = str(tmp_path / "in"), "k string, us long, id long"
+    events = spark.createDataFrame(rows, schema)
+    events.coalesce(1).write.parquet(folder)
+    stream = spark.readStream.schema(schema).parquet(folder)
+    run(stream_quota_flags(stream, "k", "us", "id", 1, 60), tmp_path)
+    got = spark.read.parquet(f"{tmp_path}/out")
+    batch = quota_flags(events, "k", "us", "id", 1, 60)
+    order = ["key", "event_id", "ts_us", "window_start_us", "n_in_window", "allowed"]
+    assert sorted(map(str, got.select(*order).collect())) == sorted(map(str, batch.select(*order).collect()))
+    assert got.count() == 5
+
+
+def test_drift_of_a_stream_without_rows(spark, tmp_path):
+    from tallyloom.streaming.drift import latest_cells, psi_with_open_windows
+
+    cells = latest_cells(spark, str(tmp_path / "nothing"))
+    reference = D.fit_reference(spark.range(20).select(F.col("id").cast("double").alias("x")), ["x"], [])
+    assert psi_with_open_windows(cells, reference, None).count() == 0
+
+
 def test_tail_drift_follows_the_log(spark, tmp_path):
     features = spark.range(1000).select(
         F.col("id"),
