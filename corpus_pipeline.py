@@ -17,27 +17,35 @@ from tallyloom.sources.tables import table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOXIC_CUT = 0.5
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+#: Bytes of rows that go to a Python worker at a time; a longer document goes alone.
+BATCH_BYTES = 4 << 20
+
+
+def _columns(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of documents, sent to Python workers in small batches so that many stages fit."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return docs.select(COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier, fitted on the labelled ones, does not reject."""
-    docs = docs.select(COLUMNS)
+    docs = _columns(spark, docs)
     return toxicity.keep_clean(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")), TOXIC_CUT)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that hangs together by similar sets of word shingles."""
-    return signature_join.one_of_each(docs.select(COLUMNS), SHINGLE_WORDS, SIMILAR_PERCENT)
+    return signature_join.one_of_each(_columns(spark, docs), SHINGLE_WORDS, SIMILAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    return decontaminate.drop_contaminated(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(_columns(spark, docs), table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked and the length counted anew where the text changed."""
-    masked = secret_scan.mask_secrets(docs.select(COLUMNS).withColumn("before", F.length("text")))
+    masked = secret_scan.mask_secrets(_columns(spark, docs).withColumn("before", F.length("text")))
     changed = F.length("text") != F.col("before")
     length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return masked.withColumn("n_chars", length).select(COLUMNS)
@@ -46,7 +54,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, as little-endian 32-bit integers, and their number."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = trie_bpe.encode_documents(docs, path)
+    coded = trie_bpe.encode_documents(_columns(spark, docs), path)
     return coded.select("doc_id", trie_bpe.token_count().alias("n_tokens"), "ids")
 
 

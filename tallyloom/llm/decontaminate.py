@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import doc_text
+from tallyloom.llm.common import doc_text, lean
 from tallyloom.llm.words import Words, alphanumeric, covered, distinct, steps
 from tallyloom.session import ship_by_value, stored
 
@@ -274,7 +274,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
         tests = prepare_items(names, texts, window)
         if tests is not None:
             held = docs.sparkSession.sparkContext.broadcast(tests)
-            kept = kept.mapInArrow(lambda batches, held=held: _without(held.value, batches), docs.schema)
+            kept = kept.mapInArrow(lean(lambda batches, held=held: _without(held.value, batches)), docs.schema)
     return kept
 
 

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallyloom.llm.common import doc_text, worker_store
+from tallyloom.llm.common import doc_text, lean, worker_store
 from tallyloom.session import ship_by_value
 
 ship_by_value(__name__)
@@ -165,4 +165,4 @@ def _mask(batches: Iterator[pa.RecordBatch], kinds: tuple[str, ...], by: str) ->
 
 def mask_secrets(docs: DataFrame, kinds: tuple[str, ...] = KINDS, by: str = "[SECRET]") -> DataFrame:
     """The same rows and columns with every span of the kinds replaced in ``text``."""
-    return docs.mapInArrow(lambda batches: _mask(batches, kinds, by), docs.schema)
+    return docs.mapInArrow(lean(lambda batches: _mask(batches, kinds, by)), docs.schema)

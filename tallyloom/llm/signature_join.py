@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.llm.common import doc_text, partitions
+from tallyloom.llm.common import doc_text, lean, lean_group, partitions
 from tallyloom.llm.connected import components, local_components
 from tallyloom.llm.words import Words, blank_separated, gram_places, grams, mix, steps
 from tallyloom.session import ship_by_value, stored
@@ -440,7 +440,7 @@ def _sets_table(size: int):
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, node, n_shingles) of each document; equal sets have equal nodes."""
-    return doc_text(docs).mapInArrow(_sets_table(size), "doc_id long, node long, n_shingles long")
+    return doc_text(docs).mapInArrow(lean(_sets_table(size)), "doc_id long, node long, n_shingles long")
 
 
 def _links(docs: DataFrame, sets: DataFrame, size: int, percent: int, chunk: int) -> DataFrame:
@@ -450,18 +450,18 @@ def _links(docs: DataFrame, sets: DataFrame, size: int, percent: int, chunk: int
     blocks = BLOCKS_PER_PARTITION * partitions(spark)
     packs = PACKS_PER_PARTITION * partitions(spark)
     groups = (
-        text.mapInArrow(_send_keys(size, percent, blocks), "block int, keys binary, nodes binary")
+        text.mapInArrow(lean(_send_keys(size, percent, blocks)), "block int, keys binary, nodes binary")
         .groupBy("block")
-        .applyInArrow(_meet, "group long, node long")
+        .applyInArrow(lean_group(_meet), "group long, node long")
         .distinct()
     )
-    signed = text.mapInArrow(_signatures(size), "node long, n long, signature binary")
+    signed = text.mapInArrow(lean(_signatures(size)), "node long, n long, signature binary")
     signed = signed.groupBy("node").agg(F.max("n").alias("n"), F.max("signature").alias("signature"))
     near = (
         groups.join(signed, "node")
         .withColumn("pack", F.pmod(F.xxhash64("group"), F.lit(packs)))
         .groupBy("pack")
-        .applyInArrow(_promising(percent), "u long, v long")
+        .applyInArrow(lean_group(_promising(percent)), "u long, v long")
     )
     clusters = components(near, "candidates").withColumnRenamed("component", "cluster")
     # one document stands for each node; those with more than one node in their cluster remain
@@ -473,7 +473,7 @@ def _links(docs: DataFrame, sets: DataFrame, size: int, percent: int, chunk: int
     small = members.filter(F.col("n") <= chunk).withColumn("pack", F.pmod(F.xxhash64("cluster"), F.lit(packs)))
     large = members.filter(F.col("n") > chunk)
     dealt = large.withColumn("slice", F.explode(F.when(F.col("node") == F.col("leader"), F.sequence(F.lit(0).cast("long"), slices - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), slices)))))
-    join = _join_pack(size, percent)
+    join = lean_group(_join_pack(size, percent))
     columns = ["pack", "cluster", "node", "text"]
     first = small.select(columns).unionByName(
         dealt.withColumn("pack", F.xxhash64("cluster", "slice")).select(columns)
@@ -539,7 +539,7 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, chunk: int =
     firsts = nodes.groupBy("component").agg(F.min(F.struct("smallest", "node")).alias("first"))
     firsts = firsts.select(F.col("first.smallest").alias(keep_id), F.col("first.node").alias(keep_node))
     schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
-    numbered = docs.mapInArrow(_numbered(size, own), schema)
+    numbered = docs.mapInArrow(lean(_numbered(size, own)), schema)
     free = numbered.filter(F.col(own).isNull())
     named = numbered.filter(F.col(own).isNotNull())
     kept = named.join(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.char_grams import CharGrams
-from tallyloom.llm.common import doc_text, held_out, sigmoid
+from tallyloom.llm.common import doc_text, held_out, lean, sigmoid
 from tallyloom.llm.words import distinct, steps
 from tallyloom.session import ship_by_value, stored
 
@@ -34,7 +34,7 @@ FEATURES = 3000
 MIN_TEXTS = 8
 RIDGE = 1e-4
 #: Bytes of text whose n-grams are in memory at a time.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -155,7 +155,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
         return ToxicityModel(none, np.zeros(0), float(np.log(rate / (1 - rate))))
     n0, n1 = sizes[0], sizes[1]
     counts = (
-        sample.mapInArrow(_class_counts, "bucket int, clean int, toxic int")
+        sample.mapInArrow(lean(_class_counts), "bucket int, clean int, toxic int")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     )
@@ -173,7 +173,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_
     q = (np.array([r["clean"] for r in top], float) + 1) / (n0 + 2)
     ratios = np.log(p / q)
     # bounded: a row for each sampled text, of at most FEATURES places
-    rows = sample.mapInArrow(_presence_rows(buckets), "label int, places array<int>").toArrow()
+    rows = sample.mapInArrow(lean(_presence_rows(buckets)), "label int, places array<int>").toArrow()
     lists = rows.column("places").combine_chunks()
     places = lists.flatten().to_numpy().astype(np.int64)
     owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
@@ -202,7 +202,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     The text alone decides, so repeated texts score alike. Nothing is shuffled. A null id stays
     null, other columns are ignored, and an empty table gives no rows.
     """
-    return doc_text(docs).mapInArrow(_scorer(model), "doc_id long, score double")
+    return doc_text(docs).mapInArrow(lean(_scorer(model)), "doc_id long, score double")
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, cut: float = 0.5) -> DataFrame:
@@ -215,4 +215,4 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, cut: float = 0.5) -> DataF
                 sums = np.bincount(rows, model.weights[places], part.num_rows)
                 yield part.filter(pa.array(sigmoid(sums[: part.num_rows] + model.intercept) < cut))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

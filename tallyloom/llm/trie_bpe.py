@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import RecentlyUsed, doc_text, worker_store
+from tallyloom.llm.common import RecentlyUsed, doc_text, lean, worker_store
 from tallyloom.session import ship_by_value
 
 ship_by_value(__name__)
@@ -243,7 +243,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     text has no ids. Repeated rows give repeated results and a null id stays null. Nothing is
     shuffled; other columns are ignored.
     """
-    return doc_text(docs).mapInArrow(_encode(path), "doc_id long, ids binary")
+    return doc_text(docs).mapInArrow(lean(_encode(path)), "doc_id long, ids binary")
 
 
 def _decode(path: str):
