@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.session import small_table
+from tallyloom.session import ship_by_value
+
+ship_by_value(__name__)
 
 MAX_FILE_BYTES = 2**31 - 1
+#: Bytes of a long file that its task holds at a time.
+PIECE_BYTES = 4 << 20
 
 
 class ChecksumError(RuntimeError):
     """A file differs from its pin, or is missing."""
 
 
-def file_checksums(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """(file, length, sha256) of every matching file of any size, one task per group of files.
+def open_file(path: str) -> BinaryIO:
+    """A file as Spark names it, for reading from its start: local, or in a store that Arrow knows."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return pafs.LocalFileSystem().open_input_stream(rest if colon else path)
+    store = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    files, inside = pafs.FileSystem.from_uri(f"{store}:{quote(rest, safe='/:@')}")
+    return files.open_input_stream(inside)
+
 
-    A file is one row of a task up to the 2 GB row limit. Python tasks cannot open every store
-    that Spark reads, so longer files are streamed through SHA-256 by the driver's JVM, one after
-    the other and a buffer at a time.
+def file_checksums(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*",
+    opener: Callable[[str], BinaryIO] = open_file,
+) -> DataFrame:
+    """(file, length, sha256) of every matching file of any size; all digests are taken in tasks.
+
+    A file is one row of a task up to the 2 GB row limit. Longer files are dealt over the tasks by
+    name, and each is read in pieces into a running hash. Those are opened by ``opener``; for a
+    store that Arrow can't open pass another one. Nothing comes to the driver.
     """
     files = (
         spark.read.format("binaryFile")
@@ -31,24 +57,31 @@ def file_checksums(spark: SparkSession, folder: str, pattern: str = "*") -> Data
     small = files.filter(F.col("length") <= MAX_FILE_BYTES).select(
         name, "length", F.sha2("content", 256).alias("sha256")
     )
-    long_files = files.filter(F.col("length") > MAX_FILE_BYTES)
-    large = [
-        (r["file"], r["length"], _streamed_digest(spark, r["path"]))
-        for r in long_files.select("path", name, "length").collect()
-    ]
-    if not large:
-        return small
-    return small.unionByName(small_table(spark, large, "file string, length bigint, sha256 string"))
-
-
-def _streamed_digest(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    stream = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(at)
-    try:
-        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
-    finally:
-        stream.close()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    large = (
+        files.filter(F.col("length") > MAX_FILE_BYTES)
+        .select("path", "length")
+        .repartition(tasks, "path")
+        .mapInArrow(_running_digests(opener), "path string, length bigint, sha256 string")
+    )
+    return small.unionByName(large.select(name, "length", "sha256"))
+
+
+def _running_digests(opener: Callable[[str], BinaryIO]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums = []
+            for path in batch.column("path").to_pylist():
+                sha = hashlib.sha256()
+                with opener(path) as stream:
+                    while piece := stream.read(PIECE_BYTES):
+                        sha.update(piece)
+                sums.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sums, pa.string())], [*batch.schema.names, "sha256"]
+            )
+
+    return run
 
 
 def against_manifest(checksums: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -76,27 +76,37 @@ def append_log(records: DataFrame, path: str) -> None:
     by_day(records).write.mode("append").partitionBy("day").json(path)
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parsed records; blank and torn lines are left out, extra keys ignored.
-
-    Lines are scanned as text and parsed by expression, so that every query on the result,
-    also a plain count, sees the same records.
-    """
+def parsed_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of text lines (``value``); blank and torn lines are left out, extra keys ignored."""
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(
         "value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    # writers may add folders below the day
-    files = spark.read.option("recursiveFileLookup", "true").text(path)
-    lines = files.filter(F.length(F.trim("value")) > 0)
     return (
-        lines.select(parsed.alias("record"))
+        lines.filter(F.length(F.trim("value")) > 0)
+        .select(parsed.alias("record"))
         .filter(F.col("record").isNotNull() & F.col(f"record.{CORRUPT}").isNull())
         .select("record.*")
         .drop(CORRUPT)
     )
 
 
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parsed records of all files below a path.
+
+    Lines are scanned as text and parsed by expression, so that every query on the result,
+    also a plain count, sees the same records.
+    """
+    # writers may add folders below the day
+    return parsed_lines(spark.read.option("recursiveFileLookup", "true").text(path), schema)
+
+
+def follow_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The same records as a stream over the files that writers add."""
+    files = spark.readStream.option("recursiveFileLookup", "true").text(path)
+    return parsed_lines(files, schema)
+
+
 def _entries(spark: SparkSession, path: str) -> list[str] | None:
     """Names directly under a path, or None if it does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -117,10 +127,14 @@ def read_recent(spark: SparkSession, path: str, schema: T.StructType, n: int) ->
     """The n latest records of a day-partitioned log, reading only the newest days.
 
     Days are opened from the newest on until they hold n records; older ones cannot
-    contribute, because the day is part of the time.
+    contribute, because the day is part of the time. A log with entries outside day folders is
+    refused, as their records would be missed.
     """
-    names = _entries(spark, path) or []
-    days = sorted((e for e in names if e.startswith("day=")), reverse=True)
+    names = [e for e in _entries(spark, path) or [] if not e.startswith(("_", "."))]
+    foreign = sorted(e for e in names if not e.startswith("day="))
+    if foreign:
+        raise ValueError(f"not partitioned by day: {path} holds {foreign[0]}")
+    days = sorted(names, reverse=True)
     if not days or n <= 0:
         return spark.createDataFrame([], schema)
     kept, found = [], 0

@@ -83,12 +83,12 @@ def test_log_round_trip_skips_torn_and_blank_lines(spark, accounts, tmp_path):
     assert prediction_log.recent(log, 0).count() == 0
 
 
-def test_csv_keeps_blanks(spark, accounts, tmp_path):
+def test_csv_keeps_blanks(spark, account, accounts, tmp_path):
     df = accounts({"TotalCharges": " "}, {})
     path = write_csv(df, str(tmp_path / "csv"))
     rows = read_csv(spark, path, TELCO, df.columns, validate=True).orderBy("customerID").collect()
     assert [r["TotalCharges"] for r in rows] == [" ", "2340"]
-    assert rows[0]["tenure"] == 13
+    assert rows[0]["tenure"] == int(account["tenure"])
     with pytest.raises(Exception):
         read_csv(spark, str(tmp_path / "absent"), TELCO, df.columns).count()
 
@@ -173,3 +173,27 @@ def test_checksums_of_long_files(spark, tmp_path, monkeypatch):
     rows = checksum.file_checksums(spark, str(tmp_path), "*.csv").collect()
     assert {r["file"]: (r["length"], r["sha256"]) for r in rows} == {
         name: (len(body), hashlib.sha256(body).hexdigest()) for name, body in bodies.items()}
+
+
+def test_long_files_are_read_in_pieces_by_the_given_opener(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checksum, "MAX_FILE_BYTES", 10)
+    body = b"0123456789" * 2000
+    (tmp_path / "long.csv").write_bytes(body)
+
+    class Counted:
+        def __init__(self, path):
+            self.stream = open(path.removeprefix("file:"), "rb")
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+        def read(self, n):
+            return self.stream.read(min(n, 7))
+
+    row = checksum.file_checksums(spark, str(tmp_path), "*.csv", Counted).first()
+    assert (row["length"], row["sha256"]) == (len(body), hashlib.sha256(body).hexdigest())
+    found = checksum.file_checksums(spark, str(tmp_path), "*.none")
+    assert found.count() == 0

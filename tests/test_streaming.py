@@ -239,6 +239,43 @@ def test_tail_drift_follows_the_log(spark, tmp_path):
     assert {r["request_id"] for r in tail} == {f"{i:06d}" for i in range(900, 1000)}
 
 
+def test_tail_state_with_late_repeated_and_replayed_records(spark, tmp_path):
+    rows = spark.range(300).select(
+        F.col("id"),
+        F.timestamp_micros((F.col("id") * 3600 + 1_700_000_000) * S).alias("t"),
+        F.col("id").cast("double").alias("x"), F.lit(0.5).alias("p"), F.lit("Yes").alias("v"),
+    )
+    ref = D.fit_reference(rows.filter("id < 100"), ["x"], []).persist()
+    log, checkpoint = str(tmp_path / "log"), f"{tmp_path}/cp"
+    schema = prediction_log.log_schema(rows.select("x").schema)
+    names = F.lpad(F.col("id").cast("string"), 6, "0")
+
+    def follow():
+        start_tail_drift(spark, log, schema, ref, f"{tmp_path}/reports", checkpoint, 60).awaitTermination()
+
+    # in order, late, repeated, some late among the latest, a torn line alone
+    for part in ("id < 100", "id >= 150 and id < 200", "id >= 140 and id < 160", "id % 2 = 1 and id >= 190", "id >= 250 and id % 2 = 0"):
+        records = prediction_log.log_records(rows.filter(part), ["x"], "id", "p", "v", "1", names, F.col("t"))
+        prediction_log.append_log(records, log)
+        follow()
+    (tmp_path / "log" / "day=2030-01-01").mkdir()
+    (tmp_path / "log" / "day=2030-01-01" / "part-0.json").write_text('{"ts": "2030-01\n\n')
+    follow()
+    tail = lambda: sorted(
+        tuple(r) for r in spark.read.schema(schema).parquet(f"{checkpoint}-tail/1").select("ts", "request_id").collect())
+    want = sorted(tuple(r) for r in prediction_log.read_recent(spark, log, schema, 60).select("ts", "request_id").collect())
+    assert len(want) == 60 and tail() == want
+    # the last batch again, as after a stop before its commit
+    (tmp_path / "cp" / "commits" / "5").unlink()
+    for crc in (tmp_path / "cp" / "commits").glob(".5.crc"):
+        crc.unlink()
+    follow()
+    assert tail() == want
+    (tmp_path / "log" / "stray.json").write_text("{}\n")
+    with pytest.raises(ValueError, match="stray.json"):
+        prediction_log.read_recent(spark, log, schema, 5)
+
+
 def test_stream_drift_has_all_features_and_the_open_window(spark):
     from tallyloom.plans import datasets as X
     from tallyloom.plans import queries as Q
