@@ -184,6 +184,41 @@ def test_single_key_burst(spark, tmp_path, limit):
     assert sum(r["allowed"] for r in rows) == 1
 
 
+def quota_in_parts(spark, base, parts, **options):
+    """Flags of events that come one part a trigger, by event."""
+    schema, folder = "k string, us long, id long", str(base / "in")
+    for rows in parts:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    run(stream_quota_flags(stream, "k", "us", "id", 3, 60, **options), base)
+    got = spark.read.parquet(f"{base}/out").collect()
+    return {r["event_id"]: (r["window_start_us"], r["n_in_window"], r["allowed"]) for r in got}
+
+
+def test_bounded_quota_equals_the_walk_while_buckets_hold(spark, tmp_path):
+    rng = random.Random(8)
+    events, clock = [], 1_700_000_000 * S
+    for i in range(300):
+        clock += int(rng.choice([0, rng.expovariate(1 / 9)]) * S)
+        events.append((rng.choice("abcdefg"), clock, i))
+    parts = [events[i : i + 100] for i in range(0, 300, 100)]
+    assert quota_in_parts(spark, tmp_path, parts, max_keys=21, buckets=3) == walk(events, 3, 60)
+
+
+def test_more_keys_than_the_bound_keep_the_newest_windows(spark, tmp_path):
+    begin = 1_700_000_000 * S
+    at = lambda name, second, i: (name, begin + second * S, i)
+    first = [at(name, n, n) for n, name in enumerate("abcdef")]
+    then = [at("a", 10, 10), at("f", 11, 11), at("e", 12, 12), at("d", 13, 13)]
+    got = quota_in_parts(spark, tmp_path, [first, then], max_keys=4, buckets=1)
+    # six keys are more than four: the windows of e and f, the newest, stay
+    assert all(got[n] == (begin + n * S, 1, True) for n in range(6))
+    assert got[10] == (begin + 10 * S, 1, True) and got[13] == (begin + 13 * S, 1, True)
+    assert got[11] == (begin + 5 * S, 2, True) and got[12] == (begin + 4 * S, 2, True)
+    with pytest.raises(ValueError, match="max_keys"):
+        stream_quota_flags(spark.readStream.format("rate").load(), "value", "value", "value", max_keys=2)
+
+
 def test_quota_keeps_events_without_key_or_time(spark, tmp_path):
     rows = [(None, S, 1), ("a", None, 2), (None, 2 * S, 3), (None, None, 4), ("a", S, 5)]
     folder, schema = str(tmp_path / "in"), "k string, us long, id long"
