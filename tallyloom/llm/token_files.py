@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import doc_text, partitions, worker_store
+from tallyloom.llm.common import RecentlyUsed, doc_text, partitions, worker_store
 from tallyloom.llm.words import steps
 from tallyloom.session import scratch_dir, ship_by_value
 
@@ -38,8 +39,6 @@ ROW_TOKENS = 2048
 BATCH_ROWS = 256
 #: Distinct words in each of two generations whose ids a Python worker keeps.
 KEPT_WORDS = 300_000
-#: Code points whose words are looked up at a time, so that they stay in the processor's cache.
-STEP_CHARS = 200_000
 
 MANIFEST = "part int, name string, docs long, tokens long"
 
@@ -47,6 +46,7 @@ MANIFEST = "part int, name string, docs long, tokens long"
 #: A word of Latin letters (fixed values). Nothing the tokenizers used here do parts such a word, or
 #: joins it to a full stop or comma after it.
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS_STOP = rf"\A{_LETTERS.pattern}[.,]?\z"
 
 
 class WordCodes:
@@ -64,8 +64,7 @@ class WordCodes:
             raise ValueError("ids over 65,535 need wide files")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.codes: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.codes = RecentlyUsed(KEPT_WORDS)
         self.mark_id, token = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark = token.content
         spec = json.loads(self.tokenizer.to_str())
@@ -74,62 +73,56 @@ class WordCodes:
         if suffix:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.folds = '"Lowercase"' in json.dumps(spec["normalizer"])
+        self._whole({".", ","})
+        codes = {"": b"", ".": self.codes["."], ",": self.codes[","]}
+        self.stops = {stop: pa.scalar(code, pa.large_binary()) for stop, code in codes.items()}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers of 16 or 32 bits."""
-        out, some, size = [], [], 0
+        flat, sizes = self.stream(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(flat, np.cumsum(sizes))[:-1]]
+
+    def stream(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each text has; null counts as empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        # only blanks and line feeds part words here; the tokenizer sees to other white space
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        # arrays of ids are joined as strings of bytes
+        joined = self._coded(words.dictionary).take(words.indices)
+        bounds = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1]
+        flat = np.frombuffer(joined.buffers()[2] or b"", self.kind, bounds[-1] // self.kind.itemsize)
+        return flat, np.diff(bounds[ends] // self.kind.itemsize, prepend=0)
+
+    def _coded(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words; one of letters is coded without case, and without its stop."""
+        letters = pc.match_substring_regex(words, _LETTERS_STOP)
+        stems = pc.utf8_rtrim(words, ".,")
+        # letters are part of no special token, so their case only matters to the normalizer
+        stems = pc.if_else(letters, pc.utf8_lower(stems) if self.folds else stems, words)
+        shared = stems.dictionary_encode()
+        codes = pa.array(self._looked_up(shared.dictionary.to_pylist()), pa.large_binary()).take(shared.indices)
+        for stop in (".", ","):
+            cut = pc.and_(letters, pc.ends_with(words, stop))
+            codes = pc.binary_join_element_wise(codes, pc.if_else(cut, self.stops[stop], self.stops[""]), self.stops[""])
+        return codes
+
+    def _looked_up(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, of which new ones are encoded."""
         # no cycles arise here, and looking for them among millions of words takes long
         collecting = gc.isenabled()
         gc.disable()
         try:
-            for text in texts:
-                some.append(text)
-                size += len(text)
-                if size >= STEP_CHARS:
-                    out += self._some_ids(some)
-                    some, size = [], 0
-            return out + self._some_ids(some)
+            new = self.codes.missing(set(words))
+            letters = list(filter(_LETTERS.fullmatch, new))
+            self._whole(new.difference(letters))
+            self._letters(letters)
+            return list(map(self.codes.__getitem__, words))
         finally:
             if collecting:
                 gc.enable()
 
-    def _some_ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.codes) > KEPT_WORDS:
-            self.codes, self.old = {}, self.codes
-        # only blanks and line feeds part words here; the tokenizer sees to other white space
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(self.codes.get, ws)) for ws in words]
-        new = {w for ws, cs in zip(words, found) for w, c in zip(ws, cs) if c is None}
-        self._learn({w for w in new if not self._recalled(w)})
-        codes = self.codes
-        return [b"".join([codes[w] if c is None else c for w, c in zip(ws, cs)]) for ws, cs in zip(words, found)]
-
-    def _recalled(self, word: str) -> bool:
-        """Whether the older generation has the word; if so, it is taken over."""
-        code = self.old.get(word)
-        if code is not None:
-            self.codes[word] = code
-        return code is not None
-
-    def _learn(self, words: set[str]) -> None:
-        """Encodes new words; one of letters shares its ids with that less its stop."""
-        stems, other = {}, {w for w in (".", ",") if w not in self.codes}
-        for word in words:
-            stem = word[:-1] if word[-1:] in (".", ",") else word
-            if _LETTERS.fullmatch(stem) is None:
-                other.add(word)
-            else:
-                # letters are part of no special token, so their case only matters to the normalizer
-                stems[word] = stem.lower() if self.folds and stem.isascii() else stem
-        self._whole(other)
-        codes = self.codes
-        self._letters([s for s in set(stems.values()) if s not in codes and not self._recalled(s)])
-        for word, stem in stems.items():
-            if len(stem) < len(word):
-                codes[word] = codes[stem] + codes[word[-1]]
-            elif word not in codes:
-                codes[word] = codes[stem]
-
     def _letters(self, words: list[str]) -> None:
         """Encodes words of letters in joint calls, parted again where a token ends a word."""
         for k in range(0, len(words), 4096):
@@ -222,15 +215,14 @@ def _write_parts(folder: str, path: str, end_id: int, row: int, wide: bool):
         codes, ids, firsts = word_codes(path, wide), [], []
         with store.open_output_stream(f"{draft}.arrow") as sink:
             writer = _PartWriter(sink, kind, row)
-            end = np.array([end_id], codes.kind).tobytes()
             for batch in batches:
                 for piece in steps(batch):
-                    coded = codes.ids([t or "" for t in piece.column("text").to_pylist()])
-                    sizes = np.array([len(c) // codes.kind.itemsize + 1 for c in coded], np.int64)
-                    firsts.append(writer.total + np.cumsum(sizes) - sizes)
-                    flat = np.frombuffer(end.join([*coded, b""]), codes.kind)
+                    coded, sizes = codes.stream(piece.column("text"))
+                    flat = np.insert(coded, np.cumsum(sizes), end_id)
+                    stops = np.cumsum(sizes + 1)
+                    firsts.append(writer.total + stops - sizes - 1)
                     ends = np.zeros(len(flat), bool)
-                    ends[np.cumsum(sizes) - 1] = True
+                    ends[stops - 1] = True
                     writer.add(flat, ends)
                     ids.append(piece.column("doc_id"))
             writer.close()

@@ -92,3 +92,22 @@ def test_word_codes_equal_the_library_on_odd_words():
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     for _ in range(2):
         assert [np.frombuffer(c, "<u4").tolist() for c in codes.ids(texts)] == want
+
+
+def test_words_are_kept_once_whatever_their_case_and_stop():
+    codes, library = token_files.WordCodes(WORDS, False), tokenizers.Tokenizer.from_file(WORDS)
+    texts = ["Word word. WORD, wOrd word, word..", None, "", "ÀÉÖØÞ àéöøþ. ÀÉÖØÞ,\nÀéöØþ", " \n. ,"]
+    flat, sizes = codes.stream(pa.array(texts))
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and flat.tolist() == sum(want, [])
+    assert set(codes.codes) == {"word", "word..", "àéöøþ", "", ".", ","}
+
+
+def test_every_letter_is_coded_as_the_library_does():
+    letters = [c for c in map(chr, range(0x250)) if token_files._LETTERS.fullmatch(c)]
+    texts = [f"{c}{d}{stop} {c}" for c in letters for d in ("", "a", "É") for stop in ("", ".", ",", "!")]
+    library = tokenizers.Tokenizer.from_file(WORDS)
+    coded = token_files.WordCodes(WORDS, True).ids(texts)
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded] == [
+        e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)
+    ]
