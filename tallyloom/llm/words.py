@@ -22,6 +22,9 @@ BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Bytes of text that one numpy step takes at most (a longer document is a step of its own).
 STEP_BYTES = 2 << 20
 
+#: A run of Latin letters (fixed values).
+LATIN = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+
 _LANES = 32  # words of more than eight times as many bytes are hashed one by one
 
 
@@ -52,6 +55,31 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends[1:] - ends[0]
 
 
+def without_stops(words: pa.Array, before: str = "") -> tuple[pa.Array, pa.Array]:
+    """Which words are Latin letters, at most with a full stop or comma after them, and all words without it."""
+    letters = pc.match_substring_regex(words, rf"\A{before}{LATIN}[.,]?\z")
+    return letters, pc.if_else(letters, pc.utf8_rtrim(words, ".,"), words)
+
+
+def with_stops(codes: pa.Array, words: pa.Array, letters: pa.Array, stops: dict[str, bytes]) -> pa.Array:
+    """The codes of words, from those that ``without_stops`` gives and the codes of stops."""
+    none = pa.scalar(b"", pa.large_binary())
+    for stop, code in stops.items():
+        cut = pc.and_(letters, pc.ends_with(words, stop))
+        codes = pc.binary_join_element_wise(codes, pc.if_else(cut, pa.scalar(code, pa.large_binary()), none), none)
+    return codes
+
+
+def joined(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where the strings of a large binary column start and end in all their bytes, and those."""
+    if not len(strings):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, bounds, data = strings.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return bounds - bounds[0], raw[bounds[0] : bounds[-1]]
+
+
 def steps(batch: pa.RecordBatch, column: str = "text", limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch that hold at most ``limit`` bytes of text, or one row."""
     if not batch.num_rows:

@@ -39,6 +39,34 @@ def test_kept_units_do_not_change_results(monkeypatch):
     assert [words.ids([t])[0] for t in texts * 2] == token_files.WordCodes(WORDS, True).ids(texts * 2)
 
 
+def test_units_are_kept_without_stops_and_lines_and_texts_stay_in_order():
+    library, own = tokenizers.Tokenizer.from_file(BYTES), TrieBpe(open(BYTES, encoding="utf-8").read())
+    own.encode_batch(["Some words, words. some\nwords", "words words,\nwords"])
+    assert set(own._kept) == {"Some", " words", " some", "\nwords", "words", ".", ","}
+    rng = random.Random(3)
+    bits = ["\n", "\n", " ", " ", "\n\n", " \n", "\n ", "x", "É.", "ab,", "a.,", ".", "\x85", "\t", "<|endoftext|>", "٣", "ñ", "d's"]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(9))) for _ in range(4000)] + [None, "", "\n", "\n\n\n", " a", "a ", "\na\n"]
+    rng.shuffle(texts)
+    for part in (texts, [], [None], texts[:1]):
+        column = pa.array(part, pa.string())
+        coded = own.encode_column(column)
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in part]
+        assert [np.frombuffer(c, "<u4").tolist() for c in coded.to_pylist()] == want
+        assert own.decode_batch(coded).to_pylist() == [t or "" for t in part]
+    assert own.encode_column(pa.array(texts).slice(7, 50)).equals(own.encode_column(pa.array(texts)).slice(7, 50))
+
+
+def test_decoding_of_parts_of_characters():
+    library, own = tokenizers.Tokenizer.from_file(BYTES), TrieBpe(open(BYTES, encoding="utf-8").read())
+    rng = random.Random(4)
+    lists = [[rng.randrange(50257) for _ in range(rng.randrange(8))] for _ in range(500)]
+    lists += [[rng.randrange(256) for _ in range(rng.randrange(8))] for _ in range(500)]
+    coded = pa.array([np.array(i, "<u4").tobytes() for i in lists], pa.binary())
+    want = [library.decode(i, skip_special_tokens=False) for i in lists]
+    assert own.decode_batch(coded).to_pylist() == want
+    assert own.decode_batch(coded.slice(400, 200)).to_pylist() == want[400:600]
+
+
 def test_round_trip_of_edge_rows(edge_docs, no_docs):
     rows = decode_documents(encode_documents(edge_docs, BYTES), BYTES).withColumn("n", token_count()).collect()
     assert sorted((repr(r.doc_id), r.decoded) for r in rows) == sorted(
