@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import RecentlyUsed, doc_text, partitions, worker_store
-from tallyloom.llm.words import steps
+from tallyloom.llm.words import LATIN, joined, steps, with_stops, without_stops
 from tallyloom.session import scratch_dir, ship_by_value
 
 ship_by_value(__name__)
@@ -39,14 +39,14 @@ ROW_TOKENS = 2048
 BATCH_ROWS = 256
 #: Distinct words in each of two generations whose ids a Python worker keeps.
 KEPT_WORDS = 300_000
+#: Bytes of text whose distinct words are looked up at a time (a longer document is a step of its own).
+STEP_BYTES = 8 << 20
 
 MANIFEST = "part int, name string, docs long, tokens long"
 
 
-#: A word of Latin letters (fixed values). Nothing the tokenizers used here do parts such a word, or
-#: joins it to a full stop or comma after it.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_LETTERS_STOP = rf"\A{_LETTERS.pattern}[.,]?\z"
+#: Nothing the tokenizers used here do parts such a word, or joins it to a full stop or comma after it.
+_LETTERS = re.compile(LATIN)
 
 
 class WordCodes:
@@ -74,8 +74,7 @@ class WordCodes:
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.folds = '"Lowercase"' in json.dumps(spec["normalizer"])
         self._whole({".", ","})
-        codes = {"": b"", ".": self.codes["."], ",": self.codes[","]}
-        self.stops = {stop: pa.scalar(code, pa.large_binary()) for stop, code in codes.items()}
+        self.stops = {stop: self.codes[stop] for stop in (".", ",")}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned integers of 16 or 32 bits."""
@@ -90,23 +89,16 @@ class WordCodes:
         words = lists.flatten().dictionary_encode()
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
         # arrays of ids are joined as strings of bytes
-        joined = self._coded(words.dictionary).take(words.indices)
-        bounds = np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1]
-        flat = np.frombuffer(joined.buffers()[2] or b"", self.kind, bounds[-1] // self.kind.itemsize)
-        return flat, np.diff(bounds[ends] // self.kind.itemsize, prepend=0)
+        bounds, data = joined(self._coded(words.dictionary).take(words.indices))
+        return data.view(self.kind), np.diff(bounds[ends] // self.kind.itemsize, prepend=0)
 
     def _coded(self, words: pa.Array) -> pa.Array:
         """The ids of distinct words; one of letters is coded without case, and without its stop."""
-        letters = pc.match_substring_regex(words, _LETTERS_STOP)
-        stems = pc.utf8_rtrim(words, ".,")
+        letters, stems = without_stops(words)
         # letters are part of no special token, so their case only matters to the normalizer
-        stems = pc.if_else(letters, pc.utf8_lower(stems) if self.folds else stems, words)
-        shared = stems.dictionary_encode()
+        shared = (pc.if_else(letters, pc.utf8_lower(stems), stems) if self.folds else stems).dictionary_encode()
         codes = pa.array(self._looked_up(shared.dictionary.to_pylist()), pa.large_binary()).take(shared.indices)
-        for stop in (".", ","):
-            cut = pc.and_(letters, pc.ends_with(words, stop))
-            codes = pc.binary_join_element_wise(codes, pc.if_else(cut, self.stops[stop], self.stops[""]), self.stops[""])
-        return codes
+        return with_stops(codes, words, letters, self.stops)
 
     def _looked_up(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words, of which new ones are encoded."""
@@ -216,7 +208,7 @@ def _write_parts(folder: str, path: str, end_id: int, row: int, wide: bool):
         with store.open_output_stream(f"{draft}.arrow") as sink:
             writer = _PartWriter(sink, kind, row)
             for batch in batches:
-                for piece in steps(batch):
+                for piece in steps(batch, limit=STEP_BYTES):
                     coded, sizes = codes.stream(piece.column("text"))
                     flat = np.insert(coded, np.cumsum(sizes), end_id)
                     stops = np.cumsum(sizes + 1)
