@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import random
 
@@ -197,3 +198,31 @@ def test_long_files_are_read_in_pieces_by_the_given_opener(spark, tmp_path, monk
     assert (row["length"], row["sha256"]) == (len(body), hashlib.sha256(body).hexdigest())
     found = checksum.file_checksums(spark, str(tmp_path), "*.none")
     assert found.count() == 0
+
+
+def test_checksums_never_load_a_whole_file(spark, tmp_path):
+    bodies = {"short.csv": b"0123456789", "packed.csv.gz": gzip.compress(b"a,b\n" * 9),
+              "long.csv": b"0123456789" * 1_000_000}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "10")  # Spark refuses to load longer files as one value
+    try:
+        rows = checksum.file_checksums(spark, str(tmp_path), "*.csv*").collect()
+    finally:
+        spark.conf.unset(limit)
+    assert {r["file"]: (r["length"], r["sha256"]) for r in rows} == {
+        name: (len(body), hashlib.sha256(body).hexdigest()) for name, body in bodies.items()}
+
+
+def test_checksums_of_long_files_that_only_spark_opens(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(checksum, "MAX_FILE_BYTES", 10)
+    body = b"0123456789" * 2000
+    (tmp_path / "long.csv").write_bytes(body)
+    mount = "fs.viewfs.mounttable.checksums.link./in"
+    spark.conf.set(mount, f"file://{tmp_path}")
+    try:
+        row = checksum.file_checksums(spark, "viewfs://checksums/in", "*.csv").first()
+    finally:
+        spark.conf.unset(mount)
+    assert (row["length"], row["sha256"]) == (len(body), hashlib.sha256(body).hexdigest())
